@@ -21,24 +21,29 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of a folder."""
     fs, p, _ = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(n[2:]) for n in _children(spark, path) if n.startswith("v=") and n[2:].isdigit()
+    return sorted(int(n[2:]) for n in children(spark, path) if n.startswith("v=") and n[2:].isdigit()
                   and path_exists(spark, f"{path}/{n}/_SUCCESS"))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """Current content, or None when the table was never written."""
+def current_folder(spark: SparkSession, path: str) -> str | None:
+    """Folder with the table's current files."""
     versions = _versions(spark, path)
     if versions:
-        return spark.read.parquet(f"{path}/v={versions[-1]}")
-    if any(n.startswith("DateKey=") for n in _children(spark, path)):
-        return spark.read.parquet(path)
-    return None
+        return f"{path}/v={versions[-1]}"
+    return path if any(n.startswith("DateKey=") for n in children(spark, path)) else None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """Current content, or None when the table was never written."""
+    folder = current_folder(spark, path)
+    return None if folder is None else spark.read.parquet(folder)
 
 
 def full_reload(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
@@ -79,7 +84,7 @@ def replace_periods(df: DataFrame, path: str, key: str = "DateKey") -> None:
 def replace_range(df: DataFrame, path: str, low: int, high: int, key: str = "DateKey") -> None:
     """Every key between low and high is replaced; keys without new rows disappear."""
     spark = df.sparkSession
-    before = _children(spark, path)
+    before = children(spark, path)
     replace_periods(df, path, key)
     written = {r[0] for r in df.select(key).distinct().collect()}  # days of the range, not rows
     fs, _, jvm = _fs(spark, path)
