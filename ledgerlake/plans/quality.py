@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.dates import file_month, month_end
 from ..functions.text import is_lower_case
 
-_N = F.lit(1)
+def _one() -> Column:
+    return F.lit(1)
 
 
 def _counted(df: DataFrame, condition: Column, period: str | None = None) -> DataFrame:
-    aggs = [F.count_if(condition).alias("affected"), F.count(_N).alias("total")]
+    aggs = [F.count_if(condition).alias("affected"), F.count(_one()).alias("total")]
     return df.groupBy(period).agg(*aggs) if period else df.agg(*aggs)
 
 
 def duplicates(df: DataFrame, keys: list[str], period: str | None = None) -> DataFrame:
     """Rows beyond the first of their key. Counts per key are summed, no row group is formed."""
-    per_key = df.groupBy(*dict.fromkeys([*keys, *([period] if period else [])])).agg(F.count(_N).alias("n"))
+    per_key = df.groupBy(*dict.fromkeys([*keys, *([period] if period else [])])).agg(F.count(_one()).alias("n"))
     aggs = [F.sum(F.col("n") - 1).alias("affected"), F.sum("n").alias("total")]
     return per_key.groupBy(period).agg(*aggs) if period else per_key.agg(*aggs)
 
@@ -42,10 +43,10 @@ def orphans(staged: DataFrame, keys: DataFrame, key: str, period: str | None = N
             distinct: bool = False) -> DataFrame:
     """Rows (or distinct keys per period) without a dimension row, by a left join on the key."""
     known = keys.select(key).withColumn("__known", F.lit(True))
-    base = staged.select(*dict.fromkeys([key, *([period] if period else [])]), _N.alias("__n"))
+    base = staged.select(*dict.fromkeys([key, *([period] if period else [])]), _one().alias("__n"))
     grouped = base.groupBy(*dict.fromkeys([key, *([period] if period else [])])).agg(F.sum("__n").alias("__n"))
     marked = grouped.join(known, key, "left")
-    weight = _N if distinct else F.col("__n")
+    weight = _one() if distinct else F.col("__n")
     aggs = [F.sum(F.when(F.col("__known").isNull(), weight).otherwise(0)).alias("affected"),
             F.sum("__n").alias("total")]
     return marked.groupBy(period).agg(*aggs) if period else marked.agg(*aggs)

@@ -36,6 +36,7 @@ def local_session(cores: int | None = None, **extra: str) -> SparkSession:
         **{
             "spark.master": f"local[{n}]",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": str(n),
             "spark.driver.memory": "12g",
             **extra,
