@@ -11,7 +11,9 @@ from ..functions.dates import days_between, quarter_period
 from ..operators.groups import last_of_each, pivot_sum
 from .facts import EIGHT_WEEKS, SCAM_RULE_START
 
-_YEAR = F.year("month_end")
+def _year():
+    return F.year("month_end")
+
 
 
 def _sum(c):
@@ -39,9 +41,9 @@ def loans_by_month(staged: DataFrame) -> DataFrame:
 
 
 def yearly_income(dep: DataFrame, ln: DataFrame) -> DataFrame:
-    d = dep.groupBy(_YEAR.alias("year")).agg(
+    d = dep.groupBy(_year().alias("year")).agg(
         F.sum(F.col("ftp_credit") - F.col("interest_expense")).alias("nii_deposits"), F.sum("fee_income").alias("fees_d"))
-    per_month = ln.groupBy(_YEAR.alias("year"), "month_end").agg(
+    per_month = ln.groupBy(_year().alias("year"), "month_end").agg(
         F.sum("balance_eom").alias("bal"), F.sum(F.col("interest_income") - F.col("ftp_charge")).alias("nii"),
         F.sum("fee_income").alias("fee"))
     loan = per_month.groupBy("year").agg(
@@ -62,12 +64,12 @@ def income_and_margin(dep: DataFrame, ln: DataFrame, rate: DataFrame) -> DataFra
 
 def year_end_balances(monthly: DataFrame, balance: str, products: Sequence[str]) -> DataFrame:
     """Balance at each year's last month, products as columns."""
-    rows = last_of_each(monthly, _YEAR, "month_end").withColumn("year", _YEAR)
+    rows = last_of_each(monthly, _year(), "month_end").withColumn("year", _year())
     return pivot_sum(rows, ["year"], "product_id", products, balance)
 
 
 def year_end_risk(ln: DataFrame) -> DataFrame:
-    g = last_of_each(ln, _YEAR, "month_end").groupBy(_YEAR.alias("year"), "product_id").agg(
+    g = last_of_each(ln, _year(), "month_end").groupBy(_year().alias("year"), "product_id").agg(
         *[F.sum(c).alias(c) for c in ("balance_eom", "b90", "s2", "s3", "ecl")])
     pct = {"arrears90_pct": "b90", "stage2_pct": "s2", "stage3_pct": "s3", "ecl_cov_pct": "ecl"}
     return g.select("year", "product_id", "balance_eom", *[(ratio(c, "balance_eom") * 100).alias(n) for n, c in pct.items()])
@@ -79,17 +81,17 @@ def year_end_risk_wide(ln: DataFrame, products: Sequence[str]) -> DataFrame:
 
 
 def coverage_by_year(ln: DataFrame) -> DataFrame:
-    g = last_of_each(ln, _YEAR, "month_end").groupBy(_YEAR.alias("year")).agg(
+    g = last_of_each(ln, _year(), "month_end").groupBy(_year().alias("year")).agg(
         F.sum("ecl").alias("ecl"), F.sum("balance_eom").alias("bal"))
     return g.select("year", (ratio("ecl", "bal") * 100).alias("ecl_cov_pct"))
 
 
 def holiday_balances(ln: DataFrame, year: int) -> DataFrame:
-    return ln.filter(_YEAR == year).groupBy("month_end").agg(F.sum("hol").alias("hol")).filter(F.col("hol") > 0)
+    return ln.filter(_year() == year).groupBy("month_end").agg(F.sum("hol").alias("hol")).filter(F.col("hol") > 0)
 
 
 def write_offs_by_year(ln: DataFrame) -> DataFrame:
-    return ln.groupBy(_YEAR.alias("year")).agg(
+    return ln.groupBy(_year().alias("year")).agg(
         F.sum("write_off_amount").alias("write_off"), F.sum("guarantee_claim_amount").alias("guarantee"),
         F.sum("new_lending_amount").alias("new_lending"))
 
@@ -137,14 +139,14 @@ def scams_before_and_after(staged: DataFrame, fraud_type: str = "APP Scam", rule
 
 
 def budget_against_actual(income: DataFrame, budget: DataFrame, last_actual) -> DataFrame:
-    b = budget.groupBy(_YEAR.alias("year")).agg(
+    b = budget.groupBy(_year().alias("year")).agg(
         _sum_when(F.col("month_end") <= F.lit(last_actual), "budget_nii").alias("budget_nii"),
         _sum("budget_nii").alias("full_year_budget"))
     return income.select("year", F.col("nii_total").alias("actual_nii")).join(b, "year", "full")
 
 
 def cost_income_by_year(income: DataFrame, opex: DataFrame) -> DataFrame:
-    o = opex.groupBy(_YEAR.alias("year")).agg(_sum("actual_amount").alias("cost"))
+    o = opex.groupBy(_year().alias("year")).agg(_sum("actual_amount").alias("cost"))
     return o.join(income, "year").select(
         "year", (ratio("cost", F.col("nii_total") + F.col("fees")) * 100).alias("cost_income_pct"))
 

@@ -16,12 +16,13 @@ from ..sources.schemas import source_schema
 from ..sources.tables import replace_periods, upsert_table
 
 
-def landing_stream(spark: SparkSession, folder: str, schema: StructType | str, recursive: bool = True) -> DataFrame:
+def landing_stream(spark: SparkSession, folder: str, schema: StructType | str, recursive: bool = True,
+                   glob: str = "*.parquet") -> DataFrame:
     """New files of a landing folder with their path; `schema` may name a source table."""
     schema = source_schema(schema) if isinstance(schema, str) else schema
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        reader = reader.option("recursiveFileLookup", "true")
     return reader.parquet(folder).withColumn("_source_file", F.col("_metadata.file_path"))
 
 

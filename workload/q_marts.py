@@ -129,7 +129,7 @@ SELECT yf.y AS year_no, {r('yf.ii', 'interest_income')}, {r('yf.ie', 'interest_e
   {r('b_nii_full', 'nii_budget_full')}, {r('yf.nii - b_nii', 'nii_vs_budget')}, {r(_CHG.format('yf.nii', 'b_nii'), 'nii_vs_budget_pct')},
   {r('yf.fees', 'fees')}, {r('yp.fees', 'fees_py')}, {r(_CHG.format('yf.fees', 'yp.fees'), 'fees_yoy')}, {r('b_fees', 'fees_budget')},
   {r('yf.nii + yf.fees', 'total_income')}, {r('yp.nii + yp.fees', 'total_income_py')}
-FROM yf LEFT JOIN yp ON yp.y = yf.y LEFT JOIN by ON by.y = yf.y""")
+FROM yf LEFT JOIN yp ON yp.y = yf.y LEFT JOIN bud_y ON bud_y.y = yf.y""")
 def income_kpis(x):
     return by_year(x, interest_income="Interest Income", interest_expense="Interest Expense", ftp_credit="FTP Credit",
                    ftp_charge="FTP Charge", nii="NII", nii_py="NII PY", nii_yoy="NII YoY %", nii_budget="NII Budget",
@@ -144,7 +144,7 @@ _CI, _CIP = div("oy.cost", "yf.nii + yf.fees"), div("op.cost", "yp.nii + yp.fees
 @query("cost_income", f"""
 SELECT yf.y AS year_no, {r('oy.cost', 'costs')}, {r('op.cost', 'costs_py')}, {r('oy.b_cost', 'costs_budget')}, {r(_CI, 'cost_income')},
   {r(_CIP, 'cost_income_py')}, {r(f'({_CI} - coalesce({_CIP}, 0)) * 100', 'change_pp')}
-FROM yf JOIN oy ON oy.y = yf.y LEFT JOIN yp ON yp.y = yf.y LEFT JOIN op ON op.y = yf.y""")
+FROM yf JOIN opex_y oy ON oy.y = yf.y LEFT JOIN yp ON yp.y = yf.y LEFT JOIN opex_p op ON op.y = yf.y""")
 def cost_income(x):
     return by_year(x, costs="Operating Costs", costs_py="Operating Costs PY", costs_budget="Operating Costs Budget",
                    cost_income="Cost Income Ratio", cost_income_py="Cost Income Ratio PY", change_pp="Cost Income Ratio Change pp")
@@ -184,7 +184,7 @@ def nim_vs_rate(x):
     return res(reports.nim_against_rate(x.model), month_start="MonthStart", nim="NIM", bank_rate="Bank Rate")
 
 
-_NIM, _NIMP = div("yf.nii::DOUBLE * 12 / n_months", "yf.loan_mean"), div("yp.nii::DOUBLE * 12 / yp.n_months", "yp.loan_mean")
+_NIM, _NIMP = div("yf.nii::DOUBLE * 12 / years.n_months", "yf.loan_mean"), div("yp.nii::DOUBLE * 12 / yp.n_months", "yp.loan_mean")
 
 
 @query("margin_kpis", f"""
@@ -285,7 +285,7 @@ def arrears_by_product(x):
 
 @query("ltv_score_heatmap", "SELECT ltv_band, " + ", ".join(
     r(f"(sum(balance) FILTER (score_band = '{b}' AND arrears_bucket = '90+'))::DOUBLE / nullif((sum(balance) FILTER (score_band = '{b}'))::DOUBLE, 0)",
-      b.lower().replace(" ", "_")) for b, _ in SCORE_BANDS) + f" FROM risk WHERE month_end = {LAST} AND ltv_band <> 'n/a' GROUP BY 1")
+      b.lower().replace(" ", "_")) for b, _ in SCORE_BANDS) + f" FROM risk WHERE month_end = {LAST} AND ltv_band <> 'n/a' GROUP BY 1 HAVING count(*) FILTER (arrears_bucket = '90+') > 0")
 def ltv_score_heatmap(x):
     bands = [b for b, _ in SCORE_BANDS]
     return res(reports.risk_heatmap(x.model, bands), ltv_band="LTVBand", **{b.lower().replace(" ", "_"): b for b in bands})
@@ -324,14 +324,14 @@ def stage_and_arrears_kpis(x):
 @query("ecl_movement", f"""
 SELECT yf.y AS year_no, {r('yo.ecl', 'ecl_opening')}, {r('ye.ecl', 'ecl_stock')}, {r('yf.wo - yf.ga', 'net_write_offs')},
   {r('ye.ecl - coalesce(yo.ecl, 0) + yf.wo - yf.ga', 'impairment')}, {r('b_imp', 'impairment_budget')}
-FROM yf JOIN ye ON ye.y = yf.y LEFT JOIN yo ON yo.y = yf.y LEFT JOIN by ON by.y = yf.y""")
+FROM yf JOIN ye ON ye.y = yf.y LEFT JOIN yo ON yo.y = yf.y LEFT JOIN bud_y ON bud_y.y = yf.y""")
 def ecl_movement(x):
     return by_year(x, ecl_opening="ECL Opening", ecl_stock="ECL Stock", net_write_offs="Net Write-offs", impairment="Impairment Charge",
                    impairment_budget="Impairment Budget")
 
 
 # prior-year cost of risk re-evaluates stock, opening and write-offs inside the shifted window
-_COR = div("(ye.ecl - coalesce(yo.ecl, 0) + yf.wo - yf.ga)::DOUBLE * 12 / n_months", "yf.loan_mean")
+_COR = div("(ye.ecl - coalesce(yo.ecl, 0) + yf.wo - yf.ga)::DOUBLE * 12 / years.n_months", "yf.loan_mean")
 _CORP = div("(yep.ecl - coalesce(yop.ecl, 0) + yp.wo - yp.ga)::DOUBLE * 12 / yp.n_months", "yp.loan_mean")
 
 
@@ -595,8 +595,8 @@ _KV = {
     f"{_label(k, d, p, s)} AS {k}_label, CASE WHEN {k} IS NULL THEN 'neutral' WHEN {k} {op} 0 THEN 'good' ELSE 'bad' END AS {k}_state"
     for k, (_, d, p, s, op) in _KV.items()) + ", 'neutral' AS ecl_coverage_state FROM (SELECT years.y, " + ", ".join(
         f"{e} AS {k}" for k, (e, *_) in _KV.items()) + """
-FROM years JOIN yf ON yf.y = years.y JOIN ye ON ye.y = years.y JOIN oy ON oy.y = years.y LEFT JOIN yp ON yp.y = years.y LEFT JOIN yep ON yep.y = years.y
-LEFT JOIN by ON by.y = years.y LEFT JOIN op ON op.y = years.y) v""")
+FROM years JOIN yf ON yf.y = years.y JOIN ye ON ye.y = years.y JOIN opex_y oy ON oy.y = years.y LEFT JOIN yp ON yp.y = years.y LEFT JOIN yep ON yep.y = years.y
+LEFT JOIN bud_y ON bud_y.y = years.y LEFT JOIN opex_p op ON op.y = years.y) v""")
 def kpi_status(x):
     cols = {}
     for k in _KPI_SHOWN:

@@ -324,9 +324,9 @@ FROM years JOIN pm ON month_end BETWEEN make_date(CAST(years.y - 1 AS INTEGER),
 cte("ye", "SELECT pm.* REPLACE (years.y AS y) FROM years JOIN pm ON month_end = pe")
 cte("yep", "SELECT pm.* REPLACE (years.y AS y) FROM years JOIN pm ON month_end = last_day(CAST(pe - INTERVAL 1 YEAR AS DATE))")
 cte("yo", "SELECT pm.* REPLACE (years.y AS y) FROM years JOIN pm ON month_end = make_date(CAST(years.y - 1 AS INTEGER), 12, 31)")
-cte("by", f"""SELECT year(month_end) AS y, sum(CASE WHEN month_end <= {LAST} THEN b_nii END) AS b_nii, sum(b_nii) AS b_nii_full,
+cte("bud_y", f"""SELECT year(month_end) AS y, sum(CASE WHEN month_end <= {LAST} THEN b_nii END) AS b_nii, sum(b_nii) AS b_nii_full,
   sum(CASE WHEN month_end <= {LAST} THEN b_fees END) AS b_fees, sum(CASE WHEN month_end <= {LAST} THEN b_impairment END) AS b_imp
 FROM budget GROUP BY 1""")
-cte("oy", f"""SELECT year(month_end) AS y, sum(actual) AS cost, sum(CASE WHEN month_end <= {LAST} THEN b_amount END) AS b_cost FROM opex GROUP BY 1""")
-cte("op", """SELECT years.y, sum(actual) AS cost FROM years JOIN opex ON month_end BETWEEN make_date(CAST(years.y - 1 AS INTEGER), 1, 1)
+cte("opex_y", f"""SELECT year(month_end) AS y, sum(actual) AS cost, sum(CASE WHEN month_end <= {LAST} THEN b_amount END) AS b_cost FROM opex GROUP BY 1""")
+cte("opex_p", """SELECT years.y, sum(actual) AS cost FROM years JOIN opex ON month_end BETWEEN make_date(CAST(years.y - 1 AS INTEGER), 1, 1)
   AND last_day(CAST(pe - INTERVAL 1 YEAR AS DATE)) GROUP BY 1""")
