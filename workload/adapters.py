@@ -10,6 +10,7 @@ from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.functions.bands import arrears_bucket
 from ledgerlake.functions.dates import date_key
@@ -32,6 +33,7 @@ PRODUCTS = {
 PRODUCT_IDS = [v[0] for v in PRODUCTS.values()]
 CHANNELS = {"click": "CH02", "view": "CH03", "purchase": "CH01", "signup": "CH05", "error": "CH06"}
 MONEY = "decimal(18,2)"
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def pick(c: str, mapping: dict) -> Column:
@@ -56,7 +58,11 @@ class Extracts:
         self.spark, self.dir = spark, sf_dir
 
     def t(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """A driver table; its schema is read from a footer only once per process."""
+        path = f"{self.dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # -- building blocks -----------------------------------------------------------------------
     @cached_property
@@ -383,8 +389,20 @@ class Extracts:
             F.when(F.col("last_order") < F.lit(date(2001, 1, 1)), F.col("last_order")).alias("ChurnDate"))
         return self.dim_customer.join(life, "CustomerKey", "left")
 
+    @cached_property
+    def account_numbers(self) -> DataFrame:
+        """Account numbers as issued: each customer has one per product, used or not."""
+        ids = F.explode(F.array(*[F.lit(p) for p in PRODUCT_IDS])).alias("product_id")
+        c = self.t("customer").select("c_custkey", ids)
+        product, customer = F.right("product_id", F.lit(2)).cast("int"), F.col("c_custkey") + 1
+        return c.select(
+            (customer * 100 + product).alias("AccountKey"),
+            F.concat_ws("-", F.col("c_custkey").cast("string"), F.col("product_id")).alias("AccountID"),
+            customer.alias("CustomerKey"), product.alias("ProductKey"))
+
     @cached_property
     def dim_account(self) -> DataFrame:
+        """Accounts in use, with what their first rows tell about them."""
         a = self.accounts
         product = F.right("product_id", F.lit(2)).cast("int")
         customer = F.col("customer_id").cast("bigint") + 1
@@ -396,7 +414,7 @@ class Extracts:
 
     @cached_property
     def account_keys(self) -> DataFrame:
-        return facts.account_keys(self.dim_account, self.dim_customer)
+        return facts.account_keys(self.account_numbers, self.dim_customer)
 
     @cached_property
     def deposits(self) -> DataFrame:

@@ -293,7 +293,7 @@ def branch_dim(x):
 SELECT date_key, account_id, customer_key, region_key, {rs('avg_balance', 'eom_balance', 'customer_rate', 'ftp_rate', 'interest_expense', 'ftp_credit', 'fee_income')}
 FROM dep""")
 def deposit_fact(x):
-    d = x.deposits.join(x.dim_account.select("AccountKey", "AccountID"), "AccountKey")
+    d = x.deposits.join(x.account_numbers.select("AccountKey", "AccountID"), "AccountKey")
     return res(d, date_key="DateKey", account_id="AccountID", customer_key="CustomerKey", region_key="RegionKey",
                avg_balance="AvgBalance", eom_balance="EOMBalance", customer_rate="CustomerRate", ftp_rate="FTPRate",
                interest_expense="InterestExpense", ftp_credit="FTPCredit", fee_income="FeeIncome")
