@@ -4,7 +4,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .schemas import ops_schema
 
@@ -118,21 +118,23 @@ def row_counts(tables: dict[str, DataFrame], name: str = "mart_table") -> DataFr
 def table_stats(spark: SparkSession, layers: dict[str, dict[str, str]]) -> DataFrame:
     """Rows, size and format per table and layer. `layers` maps layer -> table -> folder.
 
-    Sizes come from the file listing (binaryFile without its content column reads no data), row
-    counts from Parquet footers.
+    Sizes come from one file listing (binaryFile without its content column reads no data), row
+    counts from Parquet footers. Layer and table are the folders above the files.
     """
-    parts = []
-    for layer, tables in layers.items():
-        for table, path in tables.items():
-            files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                     .option("pathGlobFilter", "*.parquet").load(path).select("length"))
-            mb: Column = files.agg((F.coalesce(F.sum("length"), F.lit(0)) / 1048576).alias("mb")).scalar()
-            rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
-            parts.append(rows.select(
-                F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "row_count",
-                F.round(mb, 2).cast("decimal(12,2)").alias("used_mb"), F.lit("Parquet").alias("storage_type"),
-                F.current_timestamp().alias("snapshot_utc")))
-    return reduce(DataFrame.unionByName, parts)
+    folders = [path for tables in layers.values() for path in tables.values()]
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(folders).select("path", "length"))
+    above = r"/([^/]+)/([^/]+)(?:/v=[0-9]+)?(?:/DateKey=[^/]+)?/[^/]+$"
+    sizes = files.groupBy(F.regexp_extract("path", above, 1).alias("layer"),
+                          F.regexp_extract("path", above, 2).alias("table_name")).agg(F.sum("length").alias("bytes"))
+    counts = reduce(DataFrame.unionByName, [
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "row_count")
+        for layer, tables in layers.items() for table, path in tables.items()])
+    mb = F.round(F.coalesce(F.col("bytes"), F.lit(0)) / 1048576, 2).cast("decimal(12,2)")
+    return counts.join(sizes, ["layer", "table_name"], "left").select(
+        "layer", "table_name", "row_count", mb.alias("used_mb"), F.lit("Parquet").alias("storage_type"),
+        F.current_timestamp().alias("snapshot_utc"))
 
 
 def pipeline_runs(run_log: DataFrame) -> DataFrame:

@@ -18,8 +18,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def scan_landing(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Every Parquet file below a folder with the declared schema and its path as _source_file.
+def scan_files(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Every Parquet file below a folder with the declared schema.
 
     year=/month= folders are not turned into columns: the file's own dates decide. Columns that a
     query does not use are not read.
@@ -29,10 +29,14 @@ def scan_landing(spark: SparkSession, folder: str, table: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .parquet(folder)
-        .withColumn("_source_file", F.col("_metadata.file_path"))
     )
 
 
+def scan_landing(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The files of a folder with each row's file path as _source_file."""
+    return scan_files(spark, folder, table).withColumn("_source_file", F.col("_metadata.file_path"))
+
+
 def scan_or_empty(spark: SparkSession, folder: str, table: str) -> tuple[DataFrame, str]:
     """The folder's rows and 'Succeeded', or no rows and 'Skipped' where the folder is absent."""
     if path_exists(spark, folder):
@@ -61,7 +65,7 @@ def first_available(spark: SparkSession, primary: str, fallback: str) -> DataFra
 def read_month_files(spark: SparkSession, root: str, source: str, table: str,
                      columns: Sequence[str] | None = None) -> DataFrame:
     """All months of a table in one scan that reads only `columns`."""
-    df = scan_landing(spark, f"{root}/{source}/{table}", table)
+    df = scan_files(spark, f"{root}/{source}/{table}", table)
     return df.select(*columns) if columns else df
 
 
