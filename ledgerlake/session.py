@@ -19,11 +19,15 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# Settings a session takes only when it starts. Call sites of every column expression are not
+# recorded: plans here are large and built by code.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def get_session(app: str = "ledgerlake", **extra: str) -> SparkSession:
     """A session with the package settings; on a cluster pass master and sizes as usual."""
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**START_SETTINGS, **SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

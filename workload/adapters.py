@@ -33,7 +33,10 @@ PRODUCTS = {
 PRODUCT_IDS = [v[0] for v in PRODUCTS.values()]
 CHANNELS = {"click": "CH02", "view": "CH03", "purchase": "CH01", "signup": "CH05", "error": "CH06"}
 MONEY = "decimal(18,2)"
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[str, tuple[StructType, int]] = {}
+# An input with fewer splits than cores (one small file) is spread over them by its key. Inputs of
+# many files have more splits than cores and are read as they are.
+_SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 def pick(c: str, mapping: dict) -> Column:
@@ -61,8 +64,13 @@ class Extracts:
         """A driver table; its schema is read from a footer only once per process."""
         path = f"{self.dir}/{name}.parquet"
         if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+            df = self.spark.read.parquet(path)
+            cores = self.spark.sparkContext.defaultParallelism
+            few = name in _SPREAD and df.rdd.getNumPartitions() < cores
+            _SCHEMAS[path] = (df.schema, cores if few else 0)
+        schema, spread = _SCHEMAS[path]
+        df = self.spark.read.schema(schema).parquet(path)
+        return df.repartition(spread, _SPREAD[name]) if spread else df
 
     # -- building blocks -----------------------------------------------------------------------
     @cached_property
