@@ -189,7 +189,7 @@ _LOSS = "CASE WHEN st = 1 THEN pd WHEN st = 2 THEN 1 - pow(1 - pd, 5.0::DOUBLE)
 
 
 @query("pd_lgd_ead_ecl", f"""
-SELECT account_id, month_end, bal AS balance, CAST(st AS INTEGER) AS stage, {rs('pd', 'lgd', 'ead')}, {r(_LOSS, 'ecl')} FROM (SELECT *, {_EAD} AS ead FROM (
+SELECT account_id, month_end, bal AS balance, CAST(st AS INTEGER) AS stage, {rs('pd', 'lgd', 'ead')}, round(({_LOSS})::DOUBLE, 8) AS ecl FROM (SELECT *, {_EAD} AS ead FROM (
   SELECT *, {_STAGE} AS st, {_LGD} AS lgd FROM (SELECT *, {_PD} AS pd FROM (SELECT account_id, month_end, product_id, arrears_bucket, balance_eom::DOUBLE AS bal, credit_limit::DOUBLE AS lim,
     pd_12m::DOUBLE / 10 AS p, current_ltv::DOUBLE AS ltv FROM loan_stage) a) b) c) d""")
 def pd_lgd_ead_ecl(x):
@@ -198,7 +198,9 @@ def pd_lgd_ead_ecl(x):
     d = d.withColumn("stage", risk.stage("arrears_bucket", "pd", "p", F.lit(1.25)))
     d = d.withColumn("ead", risk.exposure_at_default("balance_eom", "credit_limit", "stage"))
     d = d.withColumn("loss", risk.expected_loss("stage", "pd", "lgd", "ead", F.lit(5.0), F.lit(1.25)))
-    return res(d, account_id="account_id", month_end="month_end", balance="balance_eom", stage="stage", pd="pd", lgd="lgd", ead="ead", ecl="loss")
+    # the product of two, four and two decimal places: eight places hold it without a tie
+    return d.select("account_id", "month_end", F.round("balance_eom", 6).alias("balance"), "stage", F.round("pd", 6).alias("pd"),
+                    F.round("lgd", 6).alias("lgd"), F.round("ead", 6).alias("ead"), F.round("loss", 8).alias("ecl"))
 
 
 def _index(x):
