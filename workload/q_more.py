@@ -171,14 +171,16 @@ def dup_counts(x):
 
 
 @query("annuity", f"""
-SELECT l_orderkey, l_linenumber, price::DOUBLE AS price, product_id, l_returnflag, {r('pay', 'payment')}, {r('price::DOUBLE * (disc * 100)::DOUBLE / 1200.0', 'interest')} FROM (
+SELECT l_orderkey, l_linenumber, price::DOUBLE AS price, product_id, l_returnflag, round(pay, 8) AS payment, round(price::DOUBLE * (disc * 100)::DOUBLE / 1200.0, 8) AS interest FROM (
   SELECT *, CASE WHEN disc > 0 THEN price::DOUBLE * ((disc * 100)::DOUBLE / 1200.0) / (1 - pow(1 + (disc * 100)::DOUBLE / 1200.0, -greatest(qty::DOUBLE * 5, 1.0)))
     ELSE price::DOUBLE / greatest(qty::DOUBLE * 5, 1.0) END AS pay FROM base_rows) s""")
 def annuity(x):
     d = x.base.select("l_orderkey", "l_linenumber", F.col("price").cast("double").alias("price"), "product_id", "l_returnflag",
                       (F.col("disc") * 100).cast("double").alias("rate"), (F.col("qty").cast("double") * 5).alias("n"))
-    return res(d.select("l_orderkey", "l_linenumber", "price", "product_id", "l_returnflag",
-                        risk.annuity_payment("price", "rate", "n").alias("payment"), risk.monthly_interest("price", "rate").alias("interest")))
+    # a price over a whole number of months can end at the seventh place
+    return d.select("l_orderkey", "l_linenumber", "price", "product_id", "l_returnflag",
+                    F.round(risk.annuity_payment("price", "rate", "n"), 8).alias("payment"),
+                    F.round(risk.monthly_interest("price", "rate"), 8).alias("interest"))
 
 
 _PD = "CASE WHEN arrears_bucket = '90+' THEN 1.0::DOUBLE ELSE least(greatest((1 - pow(1 - p, 12)) * 0.28::DOUBLE * CASE arrears_bucket WHEN '1-29' THEN 8.0 WHEN '30-59' THEN 20.0 WHEN '60-89' THEN 35.0 ELSE 1.0 END::DOUBLE, 0.0003::DOUBLE), 0.95::DOUBLE) END"
