@@ -15,8 +15,6 @@ SETTINGS = {
     # split a hot key even where the next operator would have to shuffle once more
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.filterPushdown": "true",
 }
 
 # Settings a session takes only when it starts. Call sites of every column expression are not
