@@ -1,12 +1,17 @@
 """The registered queries of this subpackage and their SQL."""
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, phrase_index, token_records, toxicity, url_lists
 
 QUERIES = {
+    "op2_token_records": token_records.op2_token_records,
+    "op4_phrase_index": phrase_index.op4_phrase_index,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_url_lists": url_lists.op8_url_lists,
     "op9_mixing": mixing.op9_mixing,
 }
 
 SQL = {
+    "op8_url_lists": url_lists.OP8_SQL,
     "op9_mixing": mixing.OP9_SQL,
 }
