@@ -238,3 +238,27 @@ def exact_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
 
 def op4_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, array_to_string(w[k:k + 9], ' ') AS phrase, least(len(w), 10) AS n
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM b WHERE len(w) > 0)),
+places AS (SELECT row, w, unnest(range(1, len(w) + 1)) AS k FROM d),
+hits AS (
+  SELECT p.row, p.k, x.n, x.item FROM (SELECT DISTINCT n FROM windows) s JOIN places p ON p.k + s.n - 1 <= len(p.w)
+  JOIN windows x ON x.n = s.n AND x.phrase = array_to_string(p.w[p.k:p.k + s.n - 1], ' ')),
+words AS (SELECT row, count(DISTINCT j) AS n_hit FROM (SELECT row, unnest(range(k, k + n)) AS j FROM hits) GROUP BY row),
+items AS (SELECT row, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (row) LEFT JOIN items USING (row)
+"""
