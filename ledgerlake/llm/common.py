@@ -1,15 +1,30 @@
 """Small helpers shared by the corpus operators: tables, the shared folder, written intermediates."""
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Any byte but tab, line feed, vertical tab, form feed, carriage return and space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Words whose hashes a Python worker remembers before it starts anew.
+KNOWN_WORDS = 400_000
+_HASHES: dict[bytes, int] = {}
+
+
+def word_hashes(tokens: list[bytes]) -> np.ndarray:
+    """The first 64 bits of each word's BLAKE2b."""
+    if len(_HASHES) > KNOWN_WORDS:
+        _HASHES.clear()
+    for w in set(tokens).difference(_HASHES):
+        _HASHES[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
+    return np.fromiter(map(_HASHES.__getitem__, tokens), np.uint64, len(tokens))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,14 +6,17 @@ Krichevsky-Trofimov estimate, or, half to half, the product of its children's; t
 depths. Given the training counts, the probability of a next bit is, from the leaf up,
     q(node) = w * KT(node) + (1 - w) * q(child on the path),   w = P_KT / (P_KT + product of the children's P).
 
-Steps: texts are cut into blocks of bounded size; a block gives its different byte n-grams and words, with their
-counts in training texts (rows that sum up before they are shuffled). The tree is cut two bytes below its root: each
-subtree (at most 256 ** (DEPTH - 1) n-grams) is weighed in a group of its own, the top (at most 256 * 256 nodes) from
-the sums of the subtrees. The result is one log probability per n-gram that occurs anywhere. Blocks then fetch the
-entries of their own n-grams and words by a join, and sum them per text. No task holds the model or the vocabulary.
+Steps: texts are cut into blocks of bounded size, kept as files. A block gives its different byte n-grams and words
+with their counts in training texts, packed by bucket: the last two bytes of the context, or the first bits of the
+word's hash. Equal buckets of up to `FAN_IN` blocks are added up, in rounds, until one is left of each. A gram bucket
+is then a subtree of the model: it is weighed by itself, and the top (256 * 256 nodes) from the sums of the subtrees.
+That gives a log probability for every n-gram that occurs anywhere. Each block is handed the values of its own
+n-grams and words, `FAN_IN` blocks and a bucket at a time, and adds them up per text. No task holds the model or the
+vocabulary; a task holds a block, or a bucket of `FAN_IN` blocks.
 
 Texts are lower-cased (A-Z), start after `DEPTH` zero bytes, and end with a zero byte that is coded too.
-The base is the unigram model of words and end marks with add-one smoothing.
+The base is the unigram model of words and end marks with add-one smoothing. Words are told apart by 64 bits of
+BLAKE2b.
 
 Defined cases: null counts as empty (the end alone); without training texts every bit has probability 1/2 and the
 base is log10(1 / 1) per token; rows repeated with one doc_id are each scored and each learnt from; an empty table
@@ -21,103 +24,184 @@ gives no rows; other columns are not looked at.
 """
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import clean_text, id_remainder, new_path, saved, table
+from .common import clean_text, id_remainder, new_path, saved, table, word_hashes
 
 HELD_OUT = (7, 2)
-DEPTH = 3
+#: Bytes of context; up to 7.
+DEPTH = 5
+#: Bytes of context above the subtrees.
 TOP = 2
 #: A block is closed once its texts have so many bytes.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 #: Bytes whose n-grams are sorted at once.
-AT_ONCE = 4 << 20
+AT_ONCE = 2 << 20
+#: Blocks that meet in a task, by bucket.
+FAN_IN = 64
+GRAM, WORD = 0, 1
+WORD_BITS = 11
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
-BLOCK_SCHEMA = "block long, gram long, word binary, n long, doc_id long, held_out boolean, text binary"
+FILES = "block long, path string, n_train long"
+PACKED = "kind int, bucket int, keys binary, counts binary"
+U = np.uint64
 
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> np.ndarray:
-    """All n-grams (context and byte, first byte highest) of the texts, each with its end mark, in order."""
-    start, end = bytes(depth), b"\0"
-    joined = np.frombuffer(b"".join(x for t in texts for x in (start, t, end)) + start, np.uint8).astype("u8")
+    """All n-grams of the texts, each with its end mark, in order: the last two context bytes, the others, the byte."""
+    joined = np.frombuffer(b"".join(x for t in texts for x in (bytes(depth), t, b"\0")), np.uint8)
     sizes = np.array([len(t) + 1 for t in texts], "i8")
     at = np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)) * depth, sizes)
-    out = np.zeros(len(at), "u8")
-    for k in range(depth + 1):
-        out = out << np.uint64(8) | joined[at + k]
+    out = np.zeros(len(at), U)
+    for k in (*range(depth - TOP, depth), *range(depth - TOP), depth):
+        out = out << U(8) | joined[at + k]
     return out
 
 
-def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sum counts of equal n-grams."""
-    g, n = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-    u, inverse = np.unique(g, return_inverse=True)
-    return u, np.bincount(inverse, n, len(u)).astype("i8")
-
-
-def blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Rows of three kinds, by block: documents (text), n-grams (gram, n) and words (word, n); n counts training texts."""
-    names = [f.split()[0] for f in BLOCK_SCHEMA.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-
-    def rows(**columns) -> pa.RecordBatch:
-        size = len(next(iter(columns.values())))
-        return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(size, k) for c, k in zip(names, kinds)], names=names)
+def in_order(bucket: int, keys: np.ndarray, depth: int) -> np.ndarray:
+    """The n-grams of a bucket with their bytes as in the text."""
+    keys = keys.astype("i8")
+    return (keys >> 8) << 8 * (TOP + 1) | bucket << 8 | keys & 0xFF
+
+
+def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, sorted, and the sums of their counts."""
+    u, place = np.unique(np.concatenate(keys), return_inverse=True)
+    out = np.zeros(len(u), "i8")
+    np.add.at(out, place, np.concatenate(counts))
+    return u, out
+
+
+def packed(kind: int, keys: np.ndarray, counts: np.ndarray, shift: int, wide: bool, *more: int) -> pa.RecordBatch:
+    """A row per bucket (the bits from `shift` on) of sorted keys."""
+    bucket = (keys >> U(shift)).astype("i8")
+    cuts = np.concatenate(([0], np.nonzero(np.diff(bucket))[0] + 1, [len(keys)])) if len(keys) else np.zeros(1, "i8")
+    low = (keys & U((1 << shift) - 1)).astype("<u8" if wide else "<u4")
+    pairs = list(zip(cuts, cuts[1:]))
+    columns = [pa.array(np.full(len(pairs), v)) for v in more]
+    return pa.RecordBatch.from_arrays([
+        *columns, pa.array(np.full(len(pairs), kind, "i4")), pa.array(bucket[cuts[:-1]].astype("i4")),
+        pa.array([low[a:b].tobytes() for a, b in pairs], pa.binary()), pa.array([counts[a:b].astype("<i8").tobytes() for a, b in pairs], pa.binary()),
+    ], names=[f"m{k}" for k in range(len(more))] + ["kind", "bucket", "keys", "counts"])
+
+
+def unpack(kind: int, data: bytes, depth: int) -> np.ndarray:
+    return np.frombuffer(data, "<u4" if kind == GRAM and depth <= 5 else "<u8")
+
+
+class Block:
+    """Texts of one block: their file, and their n-grams and words with training counts."""
+
+    def __init__(self, number: int, out: str, depth: int):
+        where, root = pafs.FileSystem.from_uri(out)
+        name = f"block-{number}-{uuid.uuid4().hex}"
+        self.number, self.path, self.depth = number, f"{out}/{name}", depth
+        self.schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary())])
+        self.file = where.open_output_stream(f"{root}/{name}")
+        self.stream = pa.ipc.new_stream(self.file, self.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+        self.size, self.keys, self.counts, self.words, self.n_train = 0, [], [], Counter(), 0
+
+    def add(self, ids: list, held: list[bool], texts: list[bytes]) -> None:
+        for side in (False, True):
+            own = [t for t, o in zip(texts, held) if o is side]
+            if own:
+                u, n = np.unique(grams(own, self.depth), return_counts=True)
+                self.keys.append(u)
+                self.counts.append(n * (not side))
+            for t in own:
+                if side:
+                    for w in set(t.split()).difference(self.words):
+                        self.words[w] = 0
+                else:
+                    self.words.update(t.split())
+            self.n_train += len(own) * (not side)
+        if sum(map(len, self.keys)) > 3_000_000:
+            self.keys, self.counts = ([x] for x in added(self.keys, self.counts))
+        self.stream.write_batch(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(texts, pa.binary())], schema=self.schema))
+        self.size += sum(map(len, texts))
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        self.stream.close()
+        self.file.close()
+        u, n = added(self.keys, self.counts)
+        parts = [packed(GRAM, u, n, 8 * (self.depth + 1 - TOP), self.depth > 5)]
+        held = list(self.words)
+        u, n = added([word_hashes(held)], [np.fromiter(self.words.values(), "i8", len(held))]) if held else (np.zeros(0, U), np.zeros(0, "i8"))
+        parts.append(packed(WORD, u, n, 64 - WORD_BITS, True))
+        yield block_rows([self.number], [self.path], [self.n_train])
+        for p in parts:
+            yield block_rows([self.number] * p.num_rows, None, None, p)
+
+
+BLOCK_ROWS = "block long, path string, n_train long, kind int, bucket int, keys binary, counts binary"
+
+
+def block_rows(numbers: list[int], paths, n_train, part: pa.RecordBatch | None = None) -> pa.RecordBatch:
+    size = len(numbers)
+    columns = [pa.array(numbers, pa.int64()), pa.array(paths or [None] * size, pa.string()), pa.array(n_train or [None] * size, pa.int64())]
+    rest = part.columns if part is not None else [pa.nulls(size, k) for k in (pa.int32(), pa.int32(), pa.binary(), pa.binary())]
+    return pa.RecordBatch.from_arrays([*columns, *rest], names=[f.split()[0] for f in BLOCK_ROWS.split(", ")])
+
+
+def blocks(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
+    """The blocks' files (block, path, n_train) and packed counts (block, kind, bucket, keys, counts)."""
+    spark = docs.sparkSession
+    out, (n, held_out) = new_path(spark, "texts"), HELD_OUT
+    where, root = pafs.FileSystem.from_uri(out)
+    where.create_dir(root, recursive=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, size, found, counts = TaskContext.get().partitionId() << 24, 0, [], Counter()
-
-        def close() -> Iterator[pa.RecordBatch]:
-            u, n = _counted(found)
-            yield rows(block=np.full(len(u), number), gram=u.astype("i8"), n=n)
-            held = list(counts)
-            for k in range(0, len(held), 100_000):
-                part = held[k:k + 100_000]
-                yield rows(block=np.full(len(part), number), word=part, n=[counts[w] for w in part])
-
+        number, block = TaskContext.get().partitionId() << 24, None
+        part: tuple[list, list, list] = ([], [], [])
+        size = 0
         for batch in batches:
-            k, ids, held, texts = 0, *(c.to_pylist() for c in batch.columns)
-            while k < len(texts):
-                part, outs, took, start = [], [], 0, k
-                while k < len(texts) and took < AT_ONCE and size + took < BLOCK_BYTES:
-                    part.append(texts[k].encode().translate(LOWER))
-                    outs.append(held[k])
-                    took, k = took + len(part[-1]) + 1, k + 1
-                size += took
-                for side in (False, True):
-                    own = [t for t, o in zip(part, outs) if o is side]
-                    if own:
-                        u, n = np.unique(grams(own, depth), return_counts=True)
-                        found.append((u, n * (not side)))
-                    for t in own:
-                        if side:
-                            for w in set(t.split()).difference(counts):
-                                counts[w] = 0
-                        else:
-                            counts.update(t.split())
-                yield rows(block=[number] * len(part), doc_id=ids[start:k], held_out=outs, text=part)
-                if sum(len(f[0]) for f in found) > 4_000_000:
-                    found = [_counted(found)]
-                if size >= BLOCK_BYTES:
-                    yield from close()
-                    number, size, found, counts = number + 1, 0, [], Counter()
-        if found:
-            yield from close()
-
-    n, out = HELD_OUT
-    spark, path = docs.sparkSession, new_path(docs.sparkSession, "blocks")
-    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (id_remainder(F.col("doc_id"), n) == out).alias("held_out"), clean_text(F.col("text")).alias("text"))
-    made = made.mapInArrow(cut, BLOCK_SCHEMA)
-    made.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(made.schema).parquet(path)
+            for doc_id, is_out, text in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2)):
+                text = text.as_py().encode().translate(LOWER)
+                for held, value in zip(part, (doc_id, is_out, text)):
+                    held.append(value)
+                size += len(text)
+                if size >= AT_ONCE:
+                    block = block or Block(number, out, depth)
+                    block.add(*part)
+                    part, size = ([], [], []), 0
+                    if block.size >= BLOCK_BYTES:
+                        yield from block.close()
+                        number, block = number + 1, None
+        if part[0]:
+            block = block or Block(number, out, depth)
+            block.add(*part)
+        if block:
+            yield from block.close()
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (id_remainder(F.col("doc_id"), n) == held_out).alias("held_out"), clean_text(F.col("text")).alias("text"))
+    made = saved(rows.mapInArrow(cut, BLOCK_ROWS), "blocks")
+    return made.where("path IS NOT NULL").select("block", "path", "n_train"), made.where("path IS NULL").drop("path", "n_train")
+
+
+def merge(rows: DataFrame, n_blocks: int, depth: int) -> DataFrame:
+    """One row per kind and bucket, with the counts of all blocks."""
+    def add(key: tuple, part: pa.Table) -> pa.Table:
+        kind, bucket = key[0].as_py(), key[1].as_py()
+        u, n = added([unpack(kind, d, depth) for d in part["keys"].to_pylist()], [np.frombuffer(d, "<i8") for d in part["counts"].to_pylist()])
+        out = {"kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()), "keys": pa.array([u.tobytes()], pa.binary()), "counts": pa.array([n.tobytes()], pa.binary())}
+        if len(key) > 2:
+            out["block"] = pa.array([key[2].as_py()], pa.int64())
+        return pa.table(out)
+
+    while n_blocks > FAN_IN:
+        n_blocks = -(-n_blocks // FAN_IN)
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("block"), F.lit(n_blocks))).groupBy("kind", "bucket", "block").applyInArrow(add, PACKED + ", block long")
+    return rows.groupBy("kind", "bucket").applyInArrow(add, PACKED)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -151,7 +235,9 @@ class Subtree:
             steps = []
             for d in range(depth, top - 1, -1):
                 node = (context & (1 << 8 * d) - 1) << 8 | prefix
-                u, first, place = np.unique(node, return_index=True, return_inverse=True)
+                u, place = np.unique(node, return_inverse=True)
+                first = np.zeros(len(u), "i8")
+                first[place] = np.arange(len(place))  # some n-gram of each node
                 ones = np.bincount(place, n * bit, len(u))
                 zeros = np.bincount(place, n * (1 - bit), len(u))
                 own = log_kt(zeros, ones)
@@ -211,82 +297,111 @@ class Top:
         return mix
 
 
-def model(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """gram, value (log10 probability of its byte) for every row of (gram, n)."""
-    below = counts.withColumn("subtree", F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1)))
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for row in zip(*batch.columns):
+            yield tuple(v.as_py() for v in row)
 
-    def roots(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        return Subtree(part["gram"].to_numpy(), part["n"].to_numpy(), depth, TOP).roots().assign(last=key[0] & 0xFF)
 
-    sums = below.groupBy("subtree").applyInPandas(roots, "prefix int, zeros double, ones double, log_p double, last long")
-    top = Top(sums.groupBy("last", "prefix").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_p")]).toPandas())
+def values(merged: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """kind, bucket, keys, found: for each key the log10 probability of its byte (32 bit), or the word's count (64 bit)."""
+    def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, keys, counts in _each(batches):
+            tree = Subtree(in_order(bucket, unpack(GRAM, keys, depth), depth), np.frombuffer(counts, "<i8"), depth, TOP)
+            yield pa.RecordBatch.from_pandas(tree.roots().assign(last=bucket & 0xFF)[["prefix", "zeros", "ones", "log_p", "last"]], preserve_index=False)
 
-    def score(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        gram = part["gram"].to_numpy()
-        return pd.DataFrame({"gram": gram, "value": Subtree(gram, part["n"].to_numpy(), depth, TOP).log10(top.above(key[0] & 0xFF))})
+    parts = merged.where(F.col("kind") == GRAM).select("bucket", "keys", "counts").mapInArrow(roots, "prefix int, zeros double, ones double, log_p double, last long")
+    top = Top(parts.groupBy("last", "prefix").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_p")]).toPandas())  # 65,536 rows at most
 
-    return below.groupBy("subtree").applyInPandas(score, "gram long, value double")
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, bucket, keys, counts in _each(batches):
+            found = counts
+            if kind == GRAM:
+                tree = Subtree(in_order(bucket, unpack(GRAM, keys, depth), depth), np.frombuffer(counts, "<i8"), depth, TOP)
+                found = tree.log10(top.above(bucket & 0xFF)).astype("<f4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), pa.array([keys], pa.binary()), pa.array([found], pa.binary())], names=["kind", "bucket", "keys", "found"])
 
+    return merged.mapInArrow(weigh, "kind int, bucket int, keys binary, found binary")
 
-class Lookup:
-    """Values of n-grams by walking tables from byte to byte; all n-grams asked for must be among `gram` (sorted)."""
 
-    def __init__(self, gram: np.ndarray, value: np.ndarray, depth: int):
-        used = np.unique(np.concatenate([(gram >> 8 * k & 0xFF) for k in range(depth + 1)]))
-        self.symbol = np.zeros(256, "i8")
-        self.symbol[used] = np.arange(len(used))
-        self.width, self.steps, parent = len(used), [], np.zeros(len(gram), "i8")
-        for k in range(depth, 0, -1):
-            prefix = gram >> 8 * k
-            new = np.concatenate(([True], prefix[1:] != prefix[:-1]))
-            place = np.cumsum(new) - 1
-            step = np.zeros((int(parent[-1]) + 1) * self.width, "i4")
-            step[parent * self.width + self.symbol[prefix & 0xFF]] = place
-            self.steps.append(step)
-            parent = place
-        self.last = np.zeros((int(parent[-1]) + 1) * self.width)
-        self.last[parent * self.width + self.symbol[gram & 0xFF]] = value
+def hand_out(rows: DataFrame, found: DataFrame, n_blocks: int, depth: int) -> DataFrame:
+    """block, kind, bucket, found: the values of each block's own keys, in their order."""
+    groups = -(-max(1, n_blocks) // FAN_IN)
+    asked = rows.select(F.col("kind").alias("k"), F.col("bucket").alias("b"), F.pmod(F.xxhash64("block"), F.lit(groups)).alias("g"), "block", "keys")
+    offered = found.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+
+    def look(key: tuple, own: pa.Table, all_: pa.Table) -> pa.Table:
+        kind, bucket = key[0].as_py(), key[1].as_py()
+        out = []
+        if own.num_rows:
+            keys = unpack(kind, all_["keys"][0].as_py(), depth)
+            value = np.frombuffer(all_["found"][0].as_py(), "<f4" if kind == GRAM else "<i8")
+            out = [value[np.searchsorted(keys, unpack(kind, d, depth))].tobytes() for d in own["keys"].to_pylist()]
+        return pa.table({"block": own["block"].cast(pa.int64()), "kind": pa.array([kind] * len(out), pa.int32()), "bucket": pa.array([bucket] * len(out), pa.int32()), "found": pa.array(out, pa.binary())})
+
+    return asked.groupBy("k", "b", "g").cogroup(offered.groupBy("kind", "bucket", "g")).applyInArrow(look, "block long, kind int, bucket int, found binary")
 
-    def __call__(self, text: bytes) -> float:
-        depth = len(self.steps)
-        b = self.symbol[np.frombuffer(bytes(depth) + text + b"\0", np.uint8)]
-        at, n = np.zeros(len(text) + 1, "i8"), len(text) + 1
-        for k, step in enumerate(self.steps):
-            at = step[at * self.width + b[k:k + n]].astype("i8")
-        return float(self.last[at * self.width + b[depth:]].sum())
+
+RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
 
 
 def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes of each row of `docs`."""
-    parts = blocks(docs, depth)
-    gram_rows = parts.where("gram IS NOT NULL").select("block", "gram", "n")
-    word_rows = parts.where("word IS NOT NULL").select("block", "word", "n")
-    texts = parts.where("text IS NOT NULL").select(F.col("block").alias("of_block"), "doc_id", "held_out", "text")
-    values = saved(model(saved(gram_rows.groupBy("gram").agg(F.sum("n").alias("n")), "grams"), depth), "gram-values")
-    counts = saved(word_rows.groupBy("word").agg(F.sum("n").alias("c")), "words")
-    ends = texts.where("NOT held_out").count()
-    tokens, different = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+    files, rows = blocks(docs, depth)
+    n_blocks, ends = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
+    merged = saved(merge(rows, n_blocks, depth), "counts")
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [np.frombuffer(data, "<i8") for data, in _each(batches)]
+        yield pa.RecordBatch.from_arrays([pa.array([int(sum(c.sum() for c in counts))]), pa.array([int(sum((c > 0).sum() for c in counts))])], names=["n", "v"])
+
+    tokens, different = merged.where(F.col("kind") == WORD).select("counts").mapInArrow(totals, "n long, v long").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v")]).first()
     tokens, different = tokens + ends, different + (ends > 0)
     rest = tokens + different + 1
-    need = gram_rows.join(values, "gram").select("block", "gram", F.lit(None).cast("binary").alias("word"), "value")
-    need = need.unionByName(word_rows.join(counts, "word").select("block", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double").alias("value")))
-    result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
-
-    def sums(key: tuple, held: pa.Table, entries: pa.Table) -> pa.Table:
-        is_gram = entries["gram"].is_valid()
-        own = entries.filter(is_gram).sort_by("gram")
-        lookup = Lookup(own["gram"].to_numpy(), own["value"].to_numpy(), depth)
-        named = entries.filter(entries["word"].is_valid())
-        known = dict(zip(named["word"].to_pylist(), named["value"].to_pylist()))
+    handed = hand_out(rows, values(merged, depth), n_blocks, depth)
+    columns = [f.split()[0] for f in RESULT.split(", ")]
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
+
+    def sums(key: tuple, file: pa.Table, found: pa.Table) -> pa.Table:
+        where, name = pafs.FileSystem.from_uri(file["path"][0].as_py())
+        with where.open_input_file(name) as f:
+            held = pa.ipc.open_stream(f).read_all().combine_chunks()
+        texts = held["text"].to_pylist()
+        found = found.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        kind = found["kind"].to_numpy()
+        data = found["found"].to_pylist()
+        value = np.frombuffer(b"".join(d for k, d in zip(kind, data) if k == GRAM), "<f4")
+        counts = np.frombuffer(b"".join(d for k, d in zip(kind, data) if k == WORD), "<i8")
+        # The block's keys, as when it was cut: values come in the order of its sorted keys.
+        pieces, size, start = [], 0, 0
+        for k, t in enumerate(texts, 1):
+            size += len(t)
+            if size >= AT_ONCE or k == len(texts):
+                pieces.append((start, k))
+                start, size = k, 0
+        unique = np.zeros(0, U)
+        for a, b in pieces:
+            unique = np.union1d(unique, grams(texts[a:b], depth))
+        scores = []
+        for a, b in pieces:
+            own = grams(texts[a:b], depth)
+            order = np.argsort(own)
+            logs = np.empty(len(own))
+            logs[order] = value[np.searchsorted(unique, own[order])]
+            ends_at = np.cumsum([len(t) + 1 for t in texts[a:b]])
+            scores.append(np.add.reduceat(logs, np.concatenate(([0], ends_at[:-1]))))
+        scores = np.concatenate(scores)
+        words = list(set().union(*(t.split() for t in texts)))
+        known = dict(zip(words, counts[np.unique(word_hashes(words), return_inverse=True)[1]].astype(float))) if words else {}
         out = []
-        for doc_id, is_out, text in zip(*(held[c].to_pylist() for c in ("doc_id", "held_out", "text"))):
-            c = np.fromiter(map(known.__getitem__, w := text.split()), float, len(w))
+        for doc_id, is_out, text, s in zip(held["doc_id"].to_pylist(), held["held_out"].to_pylist(), texts, scores):
+            own = text.split()
+            c = np.fromiter(map(known.__getitem__, own), float, len(own))
             c = np.append(c, ends)
-            out.append((doc_id, is_out, len(c), int((c > 0).sum()), tokens, float(np.log10((c + 1) / rest).sum()), lookup(text), len(text)))
-        return pa.table([pa.array([r[k] for r in out], f.type) for k, f in enumerate(result)], schema=result)
+            out.append((doc_id, is_out, len(c), int((c > 0).sum()), tokens, float(np.log10((c + 1) / rest).sum()), float(s), len(text)))
+        return pa.table([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=columns)
 
-    return texts.groupBy("of_block").cogroup(need.groupBy("block")).applyInArrow(
-        sums, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long")
+    return files.select(F.col("block").alias("of_block"), "path").groupBy("of_block").cogroup(handed.groupBy("block")).applyInArrow(sums, RESULT)
 
 
 def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,7 +109,7 @@ def training_rows(docs: DataFrame, lang: Column) -> DataFrame:
     rows = docs.where((id_remainder(F.col("doc_id"), n) != out) & F.col("text").isNotNull() & lang.isNotNull()).select("text", lang.alias("lang"))
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     share = rows.groupBy("lang").agg((F.lit(float(PER_LANGUAGE)) / F.count(F.lit(1))).alias("share"))
-    sample = rows.join(F.broadcast(share), "lang").where(drawn < F.col("share")).select("text", "lang")  # a row per language
+    sample = rows.join(share, "lang").where(drawn < F.col("share")).select("text", "lang")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, lang: Column | None = None) -> tuple[list[str], list[Ma
         w, bias, slope = train(x[order], part["side"].to_numpy(float)[order])
         return pd.DataFrame({"pair": [key[0]], "w": [w.tobytes()], "bias": [bias], "slope": [slope]})
 
-    found = rows.join(F.broadcast(plan), "lang").groupBy("pair").applyInPandas(one, "pair int, w binary, bias double, slope double").collect()
+    found = rows.join(plan, "lang").groupBy("pair").applyInPandas(one, "pair int, w binary, bias double, slope double").collect()
     return langs, [Machine(*pairs[r["pair"]], np.frombuffer(r["w"], np.float32), r["bias"], r["slope"]) for r in sorted(found, key=lambda r: r["pair"])]
 
 

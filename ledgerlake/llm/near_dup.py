@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import clean_text, saved, table
+from .common import clean_text, saved, table, word_hashes
 from .phrase_index import words
 
 SHINGLE = 5
@@ -41,11 +41,8 @@ REGISTERS = BANDS * ROWS
 TILE_TEXTS, TILE_BYTES = 768, 4 << 20
 #: Shingles that are hashed at once.
 AT_ONCE = 300_000
-#: Words that a Python worker remembers before it starts anew.
-KNOWN_WORDS = 400_000
 
 U = np.uint64
-_KNOWN: dict[bytes, int] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -55,14 +52,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def word_hashes(tokens: list[bytes]) -> np.ndarray:
-    if len(_KNOWN) > KNOWN_WORDS:
-        _KNOWN.clear()
-    for w in set(tokens).difference(_KNOWN):
-        _KNOWN[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-    return np.fromiter(map(_KNOWN.__getitem__, tokens), U, len(tokens))
-
-
 def shingles(tokens: list[bytes]) -> np.ndarray:
     """Hashes of all shingles, in order."""
     h = word_hashes(tokens)

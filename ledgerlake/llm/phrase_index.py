@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import clean_text, new_path, saved, table
 
@@ -33,7 +33,7 @@ PHRASES_AT_ONCE = 50_000
 #: Letters A-Z to lower case; every other ASCII byte that is no letter or digit separates words.
 FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
-INDEX_SCHEMA = "segment long, term binary, n long, postings binary, doc_ids array<long>, starts array<long>, n_words array<long>"
+INDEX_SCHEMA = "segment long, term binary, n long, postings binary, doc_ids array<long>, digests array<binary>, starts array<long>, n_words array<long>"
 
 
 def words(text: str) -> list[bytes]:
@@ -46,7 +46,7 @@ def _binary(data: bytes, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
 
 
-def _segment(number: int, doc_ids: list, texts: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
+def _segment(number: int, doc_ids: list, digests: list, texts: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
     """Index rows of one segment: one for its documents, one for each term."""
     sizes = np.array([len(w) for w in texts], "i8")
     starts = np.concatenate(([0], np.cumsum(sizes + 1)))[:-1]
@@ -57,33 +57,39 @@ def _segment(number: int, doc_ids: list, texts: list[list[bytes]]) -> Iterator[p
     first = np.concatenate(([0], np.cumsum(np.bincount(ids, minlength=len(place))))) if len(ids) else np.zeros(1, "i8")
     gaps = np.diff(at[order], prepend=0)
     gaps[first[:-1]] = at[order][first[:-1]]
-    head = pa.schema([("segment", pa.int64()), ("term", pa.binary()), ("n", pa.int64()), ("postings", pa.binary()), *[(c, pa.list_(pa.int64())) for c in ("doc_ids", "starts", "n_words")]])
-    yield pa.RecordBatch.from_pydict({"segment": [number], "term": [None], "n": [len(sizes)], "postings": [None], "doc_ids": [doc_ids], "starts": [starts], "n_words": [sizes]}, head)
+    head = pa.schema([("segment", pa.int64()), ("term", pa.binary()), ("n", pa.int64()), ("postings", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("digests", pa.list_(pa.binary())), *[(c, pa.list_(pa.int64())) for c in ("starts", "n_words")]])
+    yield pa.RecordBatch.from_pydict({"segment": [number], "term": [None], "n": [len(sizes)], "postings": [None], "doc_ids": [doc_ids], "digests": [digests], "starts": [starts], "n_words": [sizes]}, head)
     terms, packed = list(place), gaps.astype("<u4").tobytes()
     for k in range(0, len(terms), 20_000):
         part, span = terms[k:k + 20_000], first[k:k + 20_001]
         none = pa.nulls(len(part), pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([
             pa.array(np.full(len(part), number)), _binary(b"".join(part), np.cumsum([len(w) for w in part])), pa.array(np.diff(span)),
-            _binary(packed[4 * span[0]:4 * span[-1]], 4 * (span[1:] - span[0])), none, none, none], schema=head)
+            _binary(packed[4 * span[0]:4 * span[-1]], 4 * (span[1:] - span[0])), none, pa.nulls(len(part), pa.list_(pa.binary())), none, none], schema=head)
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary"))).alias("digest")
 
 
 def build(docs: DataFrame) -> DataFrame:
     """The index of `docs`, written to the shared folder."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, size, ids, texts = TaskContext.get().partitionId() << 24, 0, [], []
+        number, size, ids, digests, texts = TaskContext.get().partitionId() << 24, 0, [], [], []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, digest, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1)):
                 ids.append(doc_id)
+                digests.append(digest)
                 texts.append(words(text := text.as_py()))
                 size += len(text)
                 if size >= SEGMENT_BYTES:
-                    yield from _segment(number, ids, texts)
-                    number, size, ids, texts = number + 1, 0, [], []
+                    yield from _segment(number, ids, digests, texts)
+                    number, size, ids, digests, texts = number + 1, 0, [], [], []
         if ids:
-            yield from _segment(number, ids, texts)
+            yield from _segment(number, ids, digests, texts)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), clean_text(F.col("text")).alias("text"))
+    text = clean_text(F.col("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), _digest(text))
     spark, path = docs.sparkSession, new_path(docs.sparkSession, "postings")
     found = rows.mapInArrow(index, INDEX_SCHEMA)
     found.write.option("compression", "zstd").parquet(path)
@@ -212,9 +218,9 @@ def near(lists: list[np.ndarray], width: int) -> list[tuple[int, int]]:
 
 
 def documents_of(index: DataFrame) -> DataFrame:
-    """segment, place, doc_id, n_words of every document."""
-    packed = index.where("term IS NULL").select("segment", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("place", "d"))
-    return packed.select("segment", F.col("place").cast("long").alias("place"), F.col("d.doc_ids").alias("doc_id"), F.col("d.n_words").alias("n_words"))
+    """segment, place, doc_id, digest (of the text), n_words of every document."""
+    packed = index.where("term IS NULL").select("segment", F.posexplode(F.arrays_zip("doc_ids", "digests", "n_words")).alias("place", "d"))
+    return packed.select("segment", F.col("place").cast("long").alias("place"), F.col("d.doc_ids").alias("doc_id"), F.col("d.digests").alias("digest"), F.col("d.n_words").alias("n_words"))
 
 
 def exact_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -236,6 +242,15 @@ def exact_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of `docs` in whose text no window of an item occurs, with their columns."""
+    index = build(docs)
+    bad = occurrences(index, phrases(items, window)).select("segment", "place").distinct().join(documents_of(index), ["segment", "place"]).select("digest").distinct()
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row"), _digest(clean_text(F.col("text"))))
+    return rows.join(saved(bad, "contaminated"), "digest", "left_anti").select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)])
+
+
 def op4_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
