@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their SQL."""
 from __future__ import annotations
 
-from . import context_tree, language, mixing, near_dup, neighbours, phrase_index, token_records, toxicity, url_lists
+from . import context_tree, language, mixing, near_dup, neighbours, phrase_index, substring_dedup, token_records, toxicity, url_lists
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_token_records": token_records.op2_token_records,
     "op3_context_tree": context_tree.op3_context_tree,
     "op4_phrase_index": phrase_index.op4_phrase_index,
