@@ -52,8 +52,10 @@ def last_of_each(df: DataFrame, group: Column, period: str) -> DataFrame:
 
 
 def pivot_sum(df: DataFrame, rows: Sequence[str], columns: str, values: Sequence, measure: str) -> DataFrame:
-    """Named pivot; giving the values saves a pass over the data."""
-    return df.groupBy(*rows).pivot(columns, list(values)).agg(F.sum(measure))
+    """Named pivot; giving the values saves a pass over the data. `Other` sums what is under none of them."""
+    known = F.coalesce(F.col(columns).isin(list(values)), F.lit(False))
+    named = [F.sum(F.when(F.col(columns) == v, F.col(measure))).alias(str(v)) for v in values]
+    return df.groupBy(*rows).agg(*named, F.sum(F.when(~known, F.col(measure))).alias("Other"))
 
 
 def unpivot_steps(df: DataFrame, keys: Sequence[str], steps: Sequence[tuple[int, str, str]],

@@ -15,12 +15,14 @@ def _bucket(key: Column, hex_chars: int) -> Column:
 def number_rows(df: DataFrame, key: str, out: str, start: Column | int = 0, hex_chars: int = 3) -> DataFrame:
     """Dense numbers start+1, start+2, ... over unique keys, without a global sort.
 
-    Keys go to 16**hex_chars even buckets by the head of their MD5. Rows are ranked inside a bucket,
+    Rows without a key are left out. Keys go to 16**hex_chars even buckets by the head of their MD5. Rows are ranked inside a bucket,
     and the buckets' running sizes (at most 16**hex_chars rows) are added. Nothing depends on how
     the input happens to be partitioned, so a recomputed task gives the same numbers again.
     """
+    if not 1 <= hex_chars <= 4:
+        raise ValueError("hex_chars must be 1 to 4, which bounds the buckets to 65,536")
     start = F.lit(start) if isinstance(start, int) else start
-    tagged = df.withColumn(_BUCKET, _bucket(F.col(key), hex_chars))
+    tagged = df.where(F.col(key).isNotNull()).withColumn(_BUCKET, _bucket(F.col(key), hex_chars))
     sizes = tagged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_BUCKET, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_OFFSET))
@@ -35,8 +37,9 @@ def assign_keys(source: DataFrame, business_key: str, surrogate: str,
                 existing: DataFrame | None = None) -> DataFrame:
     """source with its integer key: known business keys keep theirs, new ones get the next numbers.
 
-    `source` must hold each business key once.
+    `source` must hold each business key once; rows without a key are refused (left out).
     """
+    source = source.where(F.col(business_key).isNotNull())
     if existing is None:
         return number_rows(source, business_key, surrogate)
     known = existing.select(business_key, surrogate)
@@ -46,8 +49,24 @@ def assign_keys(source: DataFrame, business_key: str, surrogate: str,
     return kept.unionByName(fresh)
 
 
+class RepeatedKey(ValueError):
+    """A business key that stands for several rows."""
+
+
+def require_unique(source: DataFrame, key: str, shown: int = 5) -> DataFrame:
+    """`source`, or RepeatedKey if a key occurs twice: every fact of that key would count twice."""
+    found = source.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").orderBy(key).limit(shown).collect()
+    if found:
+        raise RepeatedKey(f"{key} repeats: " + ", ".join(f"{r[0]} ({r['count']})" for r in found))
+    return source
+
+
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched rows take the source's values, unmatched source rows are added, nothing is deleted."""
+    """Matched rows take the source's values, unmatched source rows are added, nothing is deleted.
+
+    Source rows that lack a key are refused: they would match nothing and be added at every load.
+    """
+    source = source.dropna(subset=list(keys))
     if target is None:
         return source
     return target.join(source.select(*keys), list(keys), "left_anti").unionByName(source)
@@ -55,7 +74,8 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) ->
 
 def upsert_dimension(existing: DataFrame | None, source: DataFrame, business_key: str,
                      surrogate: str) -> DataFrame:
-    """Type 1 dimension load: attributes overwritten, integer keys stable."""
+    """Type 1 dimension load: attributes overwritten, integer keys stable, one row per business key."""
+    require_unique(source, business_key)
     keyed = assign_keys(source, business_key, surrogate, existing)
     columns = [surrogate, business_key, *[c for c in source.columns if c != business_key]]
     keyed = keyed.select(*columns)

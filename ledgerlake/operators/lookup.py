@@ -26,6 +26,8 @@ def split_hot_lookup(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner
     """
     if how not in ("inner", "left"):
         raise ValueError("inner or left only")
+    if not 0.0001 <= share < 1:
+        raise ValueError("share must be at least 0.0001, which bounds the hot keys to 10,000, and below 1")
     counts = fact.groupBy(on).agg(F.count(F.lit(1)).alias("n"))
     limit = counts.agg((F.sum("n") * F.lit(share)).alias("limit")).scalar()
     hot = counts.filter((F.col("n") > limit) & F.col(on).isNotNull()).select(on)
@@ -35,11 +37,6 @@ def split_hot_lookup(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner
     return hot_part.unionByName(cold_part)
 
 
-def orphan_count(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
-    """One row: fact rows whose key has no dimension row."""
-    return fact.join(dim.select(on), on, "left_anti").agg(F.count(F.lit(1)).alias("orphan_rows"))
-
-
 def previous_period(events: DataFrame, snapshots: DataFrame, key: str, date_key: str,
                     previous_key: str, columns: Sequence[str], prefix: str = "Old") -> DataFrame:
     """Each event with the same entity's snapshot of the exactly preceding period.

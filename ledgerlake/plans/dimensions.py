@@ -49,9 +49,13 @@ def date_dimension(spark: SparkSession, holidays: DataFrame | None = None, start
     return dates_with_flags(day_spine(spark, start, end), last_actual, holidays)
 
 
-def date_view(dim_date: DataFrame, start=date(2020, 1, 1), end=date(2026, 12, 31)) -> DataFrame:
-    """The report calendar with the month-end key."""
-    return dim_date.filter(F.col("Date").between(start, end)).withColumn("MonthEndKey", date_key("MonthEnd"))
+def date_view(dim_date: DataFrame, start=None, end=None) -> DataFrame:
+    """The report calendar with the month-end key: the whole calendar, or a stretch of it that a report asks for."""
+    if start is not None:
+        dim_date = dim_date.filter(F.col("Date") >= F.lit(start))
+    if end is not None:
+        dim_date = dim_date.filter(F.col("Date") <= F.lit(end))
+    return dim_date.withColumn("MonthEndKey", date_key("MonthEnd"))
 
 
 def region_dimension(staged: DataFrame, existing: DataFrame | None = None) -> DataFrame:

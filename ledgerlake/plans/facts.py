@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.amounts import FTP4, MONEY, PROB6, RATE4, impute_stage, repair_sign
 from ..functions.dates import date_key, days_between, parse_date
-from ..operators.dedupe import keep_one
+from ..operators.dedupe import keep_latest, keep_one
 from ..operators.lookup import lookup
 from ..operators.series import day_spine, forward_fill
 from ..sources.landing import PREFERRED_RATE_SOURCE
@@ -104,6 +104,11 @@ def branch_activity(staged: DataFrame, branches: DataFrame) -> DataFrame:
         "IsClosureMonth")
 
 
+def newest_delivery(staged: DataFrame, key: str) -> DataFrame:
+    """One row per case: of the newest file that delivered it, as a load month by month would end with."""
+    return keep_latest(staged, [key], "_source_file") if "_source_file" in staged.columns else keep_one(staged, [key])
+
+
 def complaint_rows(staged: DataFrame, customers: DataFrame, categories: DataFrame) -> DataFrame:
     """One row per complaint; a resolution before receipt is removed and flagged.
 
@@ -111,7 +116,7 @@ def complaint_rows(staged: DataFrame, customers: DataFrame, categories: DataFram
     """
     ok = F.col("resolved_date") >= F.col("received_date")
     days = F.when(ok, days_between("received_date", "resolved_date"))
-    rows = keep_one(staged, ["complaint_id"])
+    rows = newest_delivery(staged, "complaint_id")
     return (rows
             .join(customers.select(F.col("CustomerID").alias("customer_id"), "CustomerKey", "RegionKey"), "customer_id")
             .join(categories.select(F.col("CategoryCode").alias("category_code"), "CategoryKey"), "category_code")
@@ -128,7 +133,7 @@ def complaint_rows(staged: DataFrame, customers: DataFrame, categories: DataFram
 
 
 def fraud_rows(staged: DataFrame, customers: DataFrame, rule_start=SCAM_RULE_START) -> DataFrame:
-    rows = keep_one(staged, ["case_id"])
+    rows = newest_delivery(staged, "case_id")
     keys = customers.select(F.col("CustomerID").alias("customer_id"), "CustomerKey", "RegionKey")
     return rows.join(keys, "customer_id").select(
         F.col("case_id").alias("CaseID"), "CustomerKey", "RegionKey",

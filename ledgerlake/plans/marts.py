@@ -110,7 +110,7 @@ def mortgage_repricing(loans: DataFrame, products: DataFrame, mortgage: str = "P
 
 
 def loan_vintage(accounts: DataFrame, loans: DataFrame, products: DataFrame, last_actual,
-                 product: str = "P09", horizon: int = 80) -> DataFrame:
+                 product: str = "P09") -> DataFrame:
     """Cumulative default by vintage quarter and months on book, only observable points.
 
     Accounts are first summed per (vintage, open month, default month); the months-on-book spine
@@ -124,7 +124,10 @@ def loan_vintage(accounts: DataFrame, loans: DataFrame, products: DataFrame, las
     cells = opened.join(defaults, "AccountKey", "left").groupBy(
         "VintageQuarter", "OpenMonth", key_date("DefaultKey").alias("DefaultMonth")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("OriginalAmount").alias("amount"))
-    spread = cells.withColumn("MonthsOnBook", F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))))
+    # from opening to the last actual month end, however long that is
+    reached = cells.filter(F.col("OpenMonth") <= F.lit(last_actual))
+    whole = F.floor(F.months_between(F.last_day(F.date_add(F.lit(last_actual).cast("date"), 1)), "OpenMonth")).cast("int")
+    spread = reached.withColumn("MonthsOnBook", F.explode(F.sequence(F.lit(0), whole)))
     at = month_end("OpenMonth", F.col("MonthsOnBook"))
     hit = F.col("DefaultMonth") <= at
     return spread.filter(at <= F.lit(last_actual)).groupBy("VintageQuarter", "MonthsOnBook").agg(

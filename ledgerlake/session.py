@@ -1,9 +1,9 @@
-"""Session settings and lineage cutting."""
+"""Session settings."""
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that change plans, not results. Broadcast joins are left to the size check of
 # spark.sql.autoBroadcastJoinThreshold and of AQE; no plan in this package forces one on a
@@ -44,19 +44,3 @@ def local_session(cores: int | None = None, **extra: str) -> SparkSession:
             **extra,
         },
     )
-
-
-def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in spark.checkpoint.dir.
-
-    `fallback_dir` is used only where that setting is absent, as in tests. The files live on
-    shared storage, so a lost executor does not lose them.
-    """
-    sc = df.sparkSession.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None)
-    target = named or sc.getCheckpointDir() or fallback_dir
-    if target is None:
-        raise ValueError("set spark.checkpoint.dir to a shared folder, or pass fallback_dir")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(target)
-    return df.checkpoint()

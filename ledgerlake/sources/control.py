@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .schemas import ops_schema
 
 FIRST_WATERMARK = date(2019, 12, 31)
-MESSAGE_LIMIT = 4000
 
 # Folder, staging table, target and order of every source table.
 # (table, folder, target, type, group, order)
@@ -81,12 +80,11 @@ def advance_watermark(watermark: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def run_log_row(spark: SparkSession, **values) -> DataFrame:
-    """One run-log row; the message is cut to its column's length."""
+    """One run-log row."""
     schema = ops_schema("run_log")
     row = spark.createDataFrame([tuple(values.get(f.name) for f in schema.fields)], schema)
     now = F.current_timestamp()
-    return (row.withColumn("message", F.substring("message", 1, MESSAGE_LIMIT))
-               .withColumn("started_at_utc", F.coalesce("started_at_utc", now))
+    return (row.withColumn("started_at_utc", F.coalesce("started_at_utc", now))
                .withColumn("ended_at_utc", F.coalesce("ended_at_utc", now)))
 
 

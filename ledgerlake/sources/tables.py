@@ -37,7 +37,7 @@ def current_folder(spark: SparkSession, path: str) -> str | None:
     versions = _versions(spark, path)
     if versions:
         return f"{path}/v={versions[-1]}"
-    return path if any(n.startswith("DateKey=") for n in children(spark, path)) else None
+    return path if any("=" in n for n in children(spark, path)) else None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -60,7 +60,7 @@ def full_reload(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
 
 def stage(df: DataFrame, path: str, columns: Sequence[str]) -> DataFrame:
     """Truncate and insert into staging, columns matched by name."""
-    return full_reload(df.select(*columns), path, keep=1)
+    return full_reload(df.select(*columns), path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -81,18 +81,26 @@ def replace_periods(df: DataFrame, path: str, key: str = "DateKey") -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
 
 
-def replace_range(df: DataFrame, path: str, low: int, high: int, key: str = "DateKey") -> None:
-    """Every key between low and high is replaced; keys without new rows disappear."""
+def replace_parts(df: DataFrame, path: str, key: str, touched: Sequence) -> None:
+    """The touched keys get the rows of `df`; those without rows there disappear."""
     spark = df.sparkSession
-    before = children(spark, path)
-    replace_periods(df, path, key)
-    written = {r[0] for r in df.select(key).distinct().collect()}  # days of the range, not rows
+    ready = full_reload(df, f"{path}_staged")  # read twice, computed once
+    replace_periods(ready, path, key)
+    filled = {str(r[0]) for r in ready.select(key).distinct().collect()}
     fs, _, jvm = _fs(spark, path)
-    for name in before:
-        if name.startswith(key + "="):
-            value = int(name.split("=", 1)[1])
-            if low <= value <= high and value not in written:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+    for value in {str(v) for v in touched} - filled:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{key}={value}"), True)
+
+
+def replace_range(df: DataFrame, path: str, low: int, high: int, key: str = "DateKey") -> None:
+    """Every key between low and high is replaced; keys without new rows disappear.
+
+    The new rows are written to a folder of their own first; what they hold is read from there, so the input is
+    computed once. A run that dies between the steps is made good by running it again.
+    """
+    spark = df.sparkSession
+    inside = [int(n.split("=", 1)[1]) for n in children(spark, path) if n.startswith(key + "=")]
+    replace_parts(df, path, key, [v for v in inside if low <= v <= high])
 
 
 def range_replaced(target: DataFrame, new: DataFrame, low, high, key: str = "DateKey") -> DataFrame:
@@ -107,4 +115,4 @@ def periods_replaced(target: DataFrame, new: DataFrame, key: str = "DateKey") ->
 
 def create_table_as(df: DataFrame, path: str) -> DataFrame:
     """Drop and select-into."""
-    return full_reload(df, path, keep=1)
+    return full_reload(df, path)

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..operators.dedupe import keep_latest
 from ..sources.schemas import source_schema
-from ..sources.tables import replace_periods, upsert_table
+from ..sources.tables import full_reload, read_table, replace_parts, replace_periods, upsert_table
 
 
 def landing_stream(spark: SparkSession, folder: str, schema: StructType | str, recursive: bool = True,
@@ -30,8 +31,8 @@ def load_arrived_periods(stream: DataFrame, transform: Callable[[DataFrame], Dat
                          checkpoint: str, key: str = "DateKey") -> StreamingQuery:
     """Everything that arrived, transformed and put in place of its periods.
 
-    A period counts as delivered by the files of one run: a file that comes later for the same
-    period replaces it.
+    For extracts that deliver whole periods: a file that comes later for the same period replaces it.
+    Events, of which later files bring more for the same period, go through `load_arrived_events`.
     """
     def batch(rows: DataFrame, _: int) -> None:
         replace_periods(transform(rows), table, key)
@@ -40,9 +41,39 @@ def load_arrived_periods(stream: DataFrame, transform: Callable[[DataFrame], Dat
         availableNow=True).start()
 
 
+def load_arrived_events(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], events: str,
+                        summarise: Callable[[DataFrame], DataFrame], summary: str, event_id: str, part: str,
+                        checkpoint: str) -> StreamingQuery:
+    """Events that arrived join those that came before; summaries of the touched parts are made anew from all of them.
+
+    `prepare` adds the column `part` (a period, or a bucket of an entity), by which both tables are stored;
+    `summarise` keeps it. An event that comes again replaces itself, in its old part too if that has changed,
+    so a file read twice changes nothing and a late file adds to its period.
+    """
+    def batch(rows: DataFrame, _: int) -> None:
+        spark = rows.sparkSession
+        new = full_reload(keep_latest(prepare(rows), [event_id], "_source_file"), f"{events}_arrived")
+        old = read_table(spark, events)
+        after, parts = new, new.select(part)
+        if old is not None:
+            parts = parts.unionByName(old.join(new.select(event_id), event_id, "left_semi").select(part))
+        touched = [r[0] for r in parts.distinct().collect()]  # days or buckets, never events
+        if old is not None:
+            kept = old.where(F.col(part).isin(touched)).join(new.select(event_id), event_id, "left_anti")
+            after = kept.unionByName(new)
+        replace_parts(full_reload(after, f"{events}_next"), events, part, touched)
+        replace_parts(summarise(read_table(spark, events).where(F.col(part).isin(touched))), summary, part, touched)
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).start()
+
+
 def upsert_arrived(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], table: str,
                    keys: Sequence[str], checkpoint: str) -> StreamingQuery:
-    """Everything that arrived, upserted by key, whatever period it belongs to."""
+    """Everything that arrived, upserted by key, whatever period it belongs to: rows that come again replace themselves.
+
+    For rows that are final values of their key; sums and counts over events need `load_arrived_events`.
+    """
     def batch(rows: DataFrame, _: int) -> None:
         upsert_table(rows.sparkSession, transform(rows), table, keys)
 

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import dedupe, groups, keys, lookup, series
-from ledgerlake.session import cut_lineage
 
 
 def test_keep_latest_breaks_ties_the_same_way(spark, rows):
@@ -34,7 +33,7 @@ def test_numbers_are_dense_and_stable(spark):
 
 def test_known_keys_stay_and_nothing_is_deleted(spark):
     old = spark.createDataFrame([("a", "x"), ("b", "x")], "k string, v string")
-    dim = cut_lineage(keys.upsert_dimension(None, old, "k", "key"), "/tmp/ledgerlake-checkpoint")
+    dim = keys.upsert_dimension(None, old, "k", "key")
     new = spark.createDataFrame([("b", "y"), ("c", "y"), ("d", "y")], "k string, v string")
     after = {r["k"]: (r["key"], r["v"]) for r in keys.upsert_dimension(dim, new, "k", "key").collect()}
     before = {r["k"]: r["key"] for r in dim.collect()}

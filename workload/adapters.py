@@ -10,7 +10,6 @@ from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from ledgerlake.functions.bands import arrears_bucket
 from ledgerlake.functions.dates import date_key
@@ -18,7 +17,7 @@ from ledgerlake.plans import dimensions as dims, facts, marts
 from ledgerlake.plans.measures import build_registry, flag_next_year
 from ledgerlake.plans.model import Model
 
-FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2001, 12, 31)
+FIRST_DAY = date(1995, 1, 1)
 FIRST_MONTH, LAST_ACTUAL = date(1995, 1, 31), date(2001, 7, 31)
 RULE_START = date(1998, 6, 1)
 # type -> (id, group, segment, secured, guaranteed)
@@ -33,10 +32,6 @@ PRODUCTS = {
 PRODUCT_IDS = [v[0] for v in PRODUCTS.values()]
 CHANNELS = {"click": "CH02", "view": "CH03", "purchase": "CH01", "signup": "CH05", "error": "CH06"}
 MONEY = "decimal(18,2)"
-_SCHEMAS: dict[str, tuple[StructType, int]] = {}
-# An input with fewer splits than cores (one small file) is spread over them by its key. Inputs of
-# many files have more splits than cores and are read as they are.
-_SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 def pick(c: str, mapping: dict) -> Column:
@@ -59,18 +54,13 @@ class Extracts:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self.tables: dict[str, DataFrame] = {}
 
     def t(self, name: str) -> DataFrame:
-        """A driver table; its schema is read from a footer only once per process."""
-        path = f"{self.dir}/{name}.parquet"
-        if path not in _SCHEMAS:
-            df = self.spark.read.parquet(path)
-            cores = self.spark.sparkContext.defaultParallelism
-            few = name in _SPREAD and df.rdd.getNumPartitions() < cores
-            _SCHEMAS[path] = (df.schema, cores if few else 0)
-        schema, spread = _SCHEMAS[path]
-        df = self.spark.read.schema(schema).parquet(path)
-        return df.repartition(spread, _SPREAD[name]) if spread else df
+        """A driver table, as it is; how it is split is left to Spark."""
+        if name not in self.tables:
+            self.tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.tables[name]
 
     # -- building blocks -----------------------------------------------------------------------
     @cached_property
@@ -142,9 +132,7 @@ class Extracts:
     @cached_property
     def branches(self) -> DataFrame:
         n = self.t("nation").join(self.t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        last = self.t("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
-            F.max("c_acctbal").alias("top"))
-        return n.join(last, "n_nationkey").select(
+        return n.select(
             F.concat(F.lit("B"), F.col("n_nationkey").cast("string")).alias("branch_id"), F.col("n_name").alias("branch_name"),
             F.concat(F.lit("Brand "), (F.col("n_nationkey") % 3).cast("string")).alias("brand"),
             F.lower("r_name").alias("region_code"), F.col("n_name").alias("city"),
@@ -307,15 +295,14 @@ class Extracts:
 
     @cached_property
     def rate_stage(self) -> DataFrame:
-        """Text rates in three date notations and some rubbish, from two sources."""
+        """Text rates in three date notations and some rubbish; every order is one, its priority the source."""
         d = F.col("o_orderdate").cast("date")
         text = (F.when(F.col("o_totalprice") < 5000, "n/a").when(F.dayofmonth(d) < 10, F.date_format(d, "dd MMM yyyy"))
                 .when(F.dayofmonth(d) < 20, F.date_format(d, "yyyy-MM-dd"))
                 .otherwise(F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T00:00:00"))))
-        rows = self.t("orders").filter((F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-        return rows.select(
+        return self.t("orders").select(
             text.alias("rate_date"), dec(F.floor(F.col("o_totalprice") / 1000) / 100, "decimal(6,2)").cast("string").alias("bank_rate"),
-            F.when(F.col("o_orderpriority") == "1-URGENT", "BoE API").otherwise("Fallback").alias("source_system"))
+            F.when(F.col("o_orderpriority") == "1-URGENT", "BoE API").otherwise(F.col("o_orderpriority")).alias("source_system"))
 
     @cached_property
     def budget_stage(self) -> DataFrame:
@@ -341,8 +328,16 @@ class Extracts:
     # -- gold: dimensions as they stand after earlier loads, facts through the loaders ---------
     @cached_property
     def dim_date(self) -> DataFrame:
-        d = dims.date_dimension(self.spark, None, FIRST_DAY, LAST_DAY, LAST_ACTUAL)
-        return dims.date_view(d, FIRST_DAY, LAST_DAY)
+        first, last = self.calendar_years
+        return dims.date_view(dims.date_dimension(self.spark, None, first, last, LAST_ACTUAL))
+
+    @cached_property
+    def calendar_years(self) -> tuple[date, date]:
+        """Whole years from the first to the last day that an order or a line carries."""
+        days = self.t("orders").select(F.col("o_orderdate").cast("date").alias("d")).unionByName(
+            self.t("lineitem").select(F.col("l_shipdate").cast("date").alias("d")))
+        low, high = days.agg(F.min("d"), F.max("d")).first()
+        return (low or FIRST_DAY).replace(month=1, day=1), (high or FIRST_DAY).replace(month=12, day=31)
 
     @cached_property
     def dim_region(self) -> DataFrame:
@@ -502,7 +497,3 @@ class _Lazy(dict):
     def __missing__(self, key):
         self[key] = self._makers[key]()
         return self[key]
-
-
-def month_key(c) -> Column:
-    return date_key(c)

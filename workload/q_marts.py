@@ -225,11 +225,10 @@ def nii_bridge(x):
 
 @query("bridge_by_year", f"""
 SELECT y AS year_no, {r('bm', 'balance_months')}, {r('bpy', 'balance_months_py')}, {r('vol', 'volume')}, {r('mar', 'margin')},
-  {r('nii::DOUBLE - npy::DOUBLE - vol - mar', 'other')}, {r('least(nii, npy)::DOUBLE * 0.9', 'axis_min')}
-FROM {_BRIDGE} b WHERE y > 1995""")
+  {r('nii::DOUBLE - coalesce(npy::DOUBLE, 0) - coalesce(vol, 0) - mar', 'other')}, {r('least(nii, coalesce(npy, 0))::DOUBLE * 0.9', 'axis_min')}
+FROM {_BRIDGE} b""")
 def bridge_by_year(x):
-    later = Context((Filter("dim_date", "Year", lambda c: c > 1995),))
-    return by_year(x, later, balance_months="Balance Months", balance_months_py="Balance Months PY", volume="Bridge Volume Effect",
+    return by_year(x, balance_months="Balance Months", balance_months_py="Balance Months PY", volume="Bridge Volume Effect",
                    margin="Bridge Margin Effect", other="Bridge Other", axis_min="Bridge Axis Min")
 
 
@@ -502,9 +501,9 @@ def complaint_rates(x):
 
 @query("complaints_by_resolution_month", f"""
 SELECT strftime(make_date(resolved_key // 10000, (resolved_key // 100) % 100, 1), '%Y-%m') AS year_month, count(*) AS resolved_n FROM complaint
-WHERE resolved_key <= 20011231 GROUP BY 1""")
+GROUP BY 1""")
 def complaints_by_resolution_month(x):
-    """The inactive relationship: complaints counted by the day they were resolved."""
+    """The inactive relationship: complaints counted by the month they were resolved in; open ones under the blank month."""
     d = evaluate(x.model.using("fact_complaint", "ResolvedDateKey"), Context(), [MONTH], ["Complaints"])
     return res(d, year_month="YearMonth", resolved_n="Complaints")
 

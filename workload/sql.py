@@ -266,7 +266,7 @@ FROM orders JOIN cust c ON c.c_custkey = o_custkey""")
 
 cte("rate_seen", """
 SELECT CAST(o_orderdate AS DATE) AS d, max((floor(o_totalprice / 1000) / 100)::DECIMAL(5,2)) AS r
-FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_totalprice >= 5000 GROUP BY 1""")
+FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice >= 5000 GROUP BY 1""")
 
 cte("rate", f"""
 SELECT c.d, {KEY.format('c.d')} AS date_key, COALESCE(
