@@ -20,10 +20,6 @@ def money(c) -> Column:
     return _col(c).cast(MONEY)
 
 
-def money0(c) -> Column:
-    return F.coalesce(_col(c).cast(MONEY), F.lit(0).cast(MONEY))
-
-
 def ratio(num, den) -> Column:
     """num / den as double; a blank or zero denominator gives blank."""
     return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))

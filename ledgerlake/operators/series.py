@@ -43,11 +43,6 @@ def forward_fill(df: DataFrame, order: str, value: str, keys: Sequence[str] = ()
     return df.withColumn(value, filled)
 
 
-def fill_calendar(observed: DataFrame, spine: DataFrame, date: str, value: str) -> DataFrame:
-    """Sparse daily observations on a full calendar, gaps filled forward."""
-    return forward_fill(spine.join(observed, date, "left"), date, value)
-
-
 def interpolate_linear(df: DataFrame, x: str, value: str, out: str, keys: Sequence[str] = ()) -> DataFrame:
     """Piecewise-linear values between known points; flat beyond the first and the last."""
     w = _by(keys, x)
@@ -112,7 +107,3 @@ def active_over_time(events: DataFrame, spine: DataFrame, groups: Sequence[str],
     joined = grid.join(events, [*groups, date], "left")
     w = Window.partitionBy(*groups).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return joined.withColumn(out, F.sum(F.coalesce(F.col(delta), F.lit(0))).over(w).cast("bigint"))
-
-
-def as_date(c) -> Column:
-    return _col(c).cast("date")

@@ -344,7 +344,7 @@ def _platform(r: Registry):
     r.add(f, "Data Freshness", "", Calc(lambda d: F.concat(F.lit("Loaded to "), month_label(d)), ("Last Loaded Month",)))
 
 
-# (KPI, value, format, suffix, better). "none": the status is always neutral in the deployed report.
+# Fixed values: (KPI, value, format, suffix, better). "none": the status is always neutral in the deployed report.
 KPIS = [
     ("NII YoY", "NII YoY %", "0.0%", "vs PY", "higher"),
     ("NII vs Budget", "NII vs Budget %", "0.0%", "vs budget", "higher"),

@@ -144,10 +144,6 @@ def complaints_by_category(model: Model, ctx: Context = Context()) -> DataFrame:
                   order=[F.desc("Complaints"), F.asc("CategoryName")])
 
 
-def scam_by_year(model: Model, ctx: Context = Context()) -> DataFrame:
-    return report(model, ctx, [YEAR], ["APP Scam Losses", "APP Scam Reimbursed", "APP Reimbursement Rate"])
-
-
 def branch_points(branches: DataFrame) -> DataFrame:
     """Map points: spread position and state with the first name, city and closure date there."""
     lat, lon = spread_point("Latitude", "Longitude", "BranchKey")

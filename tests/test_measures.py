@@ -200,3 +200,35 @@ def test_registry_is_complete(spark):
     names = [r["name"] for r in measure_catalogue(spark).collect()]
     assert len(names) == len(set(names)) == 201  # measures deployed in the report
     assert len(KPIS) == 19 and {"NII", "Cost of Risk PY", "DQ Severity Colour", "Bridge Axis Min"} <= set(names)
+
+
+def with_strangers(model):
+    """One more row of a region without a dimension row, and one after the calendar."""
+    pnl = model.tables["fact_product_monthly"]
+    row = pnl.filter("DateKey = 20210228 AND RegionKey = 1")
+    more = row.withColumn("RegionKey", F.lit(99).cast("long")).unionByName(row.withColumn("DateKey", F.lit(20300131)))
+    return replace(model, tables={**model.tables, "fact_product_monthly": pnl.unionByName(more)})
+
+
+def test_rows_without_a_dimension_row_count_under_the_blank_member(model):
+    strange = with_strangers(model)
+    total = evaluate(strange, Context(), [], ["Funding Credit"]).first()[0] if "Funding Credit" in strange.measures else evaluate(strange, Context(), [], ["NII"]).first()[0]
+    name = "Funding Credit" if "Funding Credit" in strange.measures else "NII"
+    by_region = {r["RegionName"]: r[name] for r in evaluate(strange, Context(), ["dim_region.RegionName"], [name]).collect()}
+    assert None in by_region and sum(by_region.values()) == total
+    by_month = {r["YearMonth"]: r[name] for r in evaluate(strange, Context(), ["dim_date.YearMonth"], [name]).collect()}
+    assert None in by_month and sum(by_month.values()) == total
+    north = evaluate(strange, Context((one_of("dim_region", "RegionName", "North"),)), ["dim_region.RegionName"], [name]).collect()
+    assert [r["RegionName"] for r in north] == ["North"]
+
+
+def test_sums_over_products_follow_a_shift_in_time(model):
+    from ledgerlake.plans.model import Measure, Shift
+    r = dict(model.measures)
+    sample = r["Bridge Volume Effect"]
+    r["Volume PY"] = replace(sample, node=Shift("Bridge Volume Effect", "py_flow")) if hasattr(sample, "node") else sample
+    shifted = replace(model, measures=r)
+    assert isinstance(r["Volume PY"], Measure)
+    this = evaluate(shifted, year(2020), [], ["Bridge Volume Effect"]).first()[0]
+    later = evaluate(shifted, year(2021), [], ["Volume PY", "Bridge Volume Effect"]).first()
+    assert later["Volume PY"] == this and later["Volume PY"] != later["Bridge Volume Effect"]

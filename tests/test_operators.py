@@ -127,3 +127,30 @@ def test_active_over_time_matches_brute_force(spark):
     got = {(r["g"], r["Date"]): r["n"] for r in series.active_over_time(events, spine, ["g"], "Date", "d", "n").collect()}
     assert [got[("g", e)] for e in ends] == [3, 3, 1, 1] and [got[("h", e)] for e in ends] == [0, 1, 1, 1]
     assert start + timedelta(days=29) == ends[1]
+
+
+def test_rows_without_a_key_are_refused(spark):
+    rows = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
+    assert sorted((r["k"], r["n"]) for r in keys.number_rows(rows, "k", "n").collect()) in ([("a", 1), ("b", 2)], [("a", 2), ("b", 1)])
+    target = keys.upsert(None, rows, ["k"])
+    assert {r["k"] for r in keys.upsert(target, rows, ["k"]).collect()} == {"a", "b"} and keys.upsert(target, rows, ["k"]).count() == 2
+    assert {r["k"] for r in keys.upsert_dimension(None, rows, "k", "key").collect()} == {"a", "b"}
+
+
+def test_a_repeated_business_key_is_an_error(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(keys.RepeatedKey, match="a \\(2\\)"):
+        keys.upsert_dimension(None, rows, "k", "key")
+
+
+@pytest.mark.parametrize("wrong", [0, 5])
+def test_bucket_count_is_bounded(spark, wrong):
+    with pytest.raises(ValueError):
+        keys.number_rows(spark.createDataFrame([("a",)], "k string"), "k", "n", hex_chars=wrong)
+
+
+@pytest.mark.parametrize("wrong", [0, 0.00001, 1])
+def test_share_of_hot_keys_is_bounded(spark, wrong):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    with pytest.raises(ValueError):
+        lookup.split_hot_lookup(df, df, "k", share=wrong)

@@ -59,3 +59,29 @@ def test_month_totals_work_on_a_stream(spark, tmp_path):
          .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start())
     q.awaitTermination()
     assert out[-1] == [(1, 2, 3.0), (2, 1, 4.0)]
+
+
+def test_events_of_later_files_add_to_their_day(spark, tmp_path):
+    land, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    raw, table = str(tmp_path / "raw"), str(tmp_path / "daily")
+    schema = spark.createDataFrame([], SCHEMA).schema
+
+    def prepare(rows):
+        return rows.withColumn("DateKey", date_key(F.to_date("at")))
+
+    def summarise(rows):
+        return rows.groupBy("DateKey").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"))
+
+    def run():
+        stream = monthly.landing_stream(spark, land, schema)
+        monthly.load_arrived_events(stream, prepare, raw, summarise, table, "id", "DateKey", cp).awaitTermination()
+        return {r["DateKey"]: (r["n"], r["v"]) for r in read_table(spark, table).collect()}
+
+    put(spark, land, "a", (1, (2020, 1, 5), 1.0), (2, (2020, 1, 5), 2.0))
+    assert run() == {20200105: (2, 3.0)}
+    put(spark, land, "b", (3, (2020, 1, 5), 4.0), (4, (2020, 1, 6), 8.0))
+    assert run() == {20200105: (3, 7.0), 20200106: (1, 8.0)}
+    put(spark, land, "c", (1, (2020, 1, 5), 1.0), (2, (2020, 1, 5), 2.0))  # the first file again
+    assert run() == {20200105: (3, 7.0), 20200106: (1, 8.0)}
+    put(spark, land, "d", (4, (2020, 1, 7), 8.0))  # an event moves and leaves its day empty
+    assert run() == {20200105: (3, 7.0), 20200107: (1, 8.0)}
