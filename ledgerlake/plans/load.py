@@ -94,21 +94,17 @@ class Warehouse:
         put("dim_complaint_category", dims.category_dimension(stg("complaint_categories"), gold("dim_complaint_category")))
         branches = put("dim_branch", dims.branch_dimension(stg("branches"), regions, la, gold("dim_branch")))
         clean = tables.create_table_as(dims.clean_customers(stg("customers")), self.path("silver", "customers"))
-        for check, counts, severity, action in [
-            ("Duplicate customer rows removed", quality.duplicates(stg("customers"), ["customer_id"]), "Warning",
-             "Kept latest row per customer_id"),
-            ("Missing region code", quality.missing(clean, "region_code_src"), "Warning",
-             "Region derived from postcode area mapping"),
-            ("Non-standard postcode format", quality.dirty_postcodes(clean), "Info",
-             "Upper-cased and re-spaced (outward + inward code)"),
-            ("Onboarding date in the future", quality.future_dates(clean, "onboarding_date_src", la), "Error",
-             "Date set to NULL and flagged"),
+        for check, counts in [
+            ("customer_duplicates", quality.duplicates(stg("customers"), ["customer_id"])),
+            ("customer_region", quality.missing(clean, "region_code_src")),
+            ("customer_postcode", quality.dirty_postcodes(clean)),
+            ("customer_future", quality.future_dates(clean, "onboarding_date_src", la)),
         ]:
-            self.log_dq(counts, layer="silver", table="customers", check=check, severity=severity, action=action)
+            self.log_dq(counts, layer="silver", table="customers", **quality.check(check))
         customers = put("dim_customer", dims.customer_dimension(clean, regions, branches, la, gold("dim_customer")))
         accounts = tables.create_table_as(dims.clean_accounts(stg("accounts")), self.path("silver", "accounts"))
         self.log_dq(quality.duplicates(stg("accounts"), ["account_id"]), layer="silver", table="accounts",
-                    check="Duplicate account rows removed", severity="Warning", action="Kept one row per account_id")
+                    **quality.check("account_duplicates"))
         put("dim_account", dims.account_dimension(accounts, customers, products, branches, gold("dim_account")))
 
     def load_rate(self) -> None:
@@ -131,29 +127,25 @@ class Warehouse:
             tables.replace_periods(loader(staged, keys), path)
             name = "FactDepositBalanceMonthly" if target == "deposit_balance" else "FactLoanPerformanceMonthly"
             log = dict(layer="gold", table=name, period="month_end")
-            self.log_dq(quality.duplicates(staged, ["account_id"], "month_end"), check="Duplicate rows removed",
-                        severity="Warning", action="Kept one row per account and month", **log)
+            self.log_dq(quality.duplicates(staged, ["account_id"], "month_end"), **quality.check("monthly_duplicates"), **log)
             if target == "deposit_balance":
-                self.log_dq(quality.negative_savings(staged, facts.SAVINGS_PRODUCTS), severity="Warning",
-                            check="Negative savings balance (sign error)", action="Converted to absolute value", **log)
+                self.log_dq(quality.negative_savings(staged, facts.SAVINGS_PRODUCTS), **quality.check("negative_savings"), **log)
             else:
-                self.log_dq(quality.missing(staged, "ifrs9_stage", "month_end"), check="Missing IFRS 9 stage",
-                            severity="Warning", action="Imputed from arrears (90+ = Stage 3, 30+ DPD = Stage 2, else Stage 1)", **log)
-            self.log_dq(quality.orphans(staged, keys, "account_id", "month_end", distinct=True), severity="Error",
-                        check="Orphan rows (account not in DimAccount)", action="Rejected", **log)
+                self.log_dq(quality.missing(staged, "ifrs9_stage", "month_end"), **quality.check("missing_stage"), **log)
+            self.log_dq(quality.orphans(staged, keys, "account_id", "month_end", distinct=True), **quality.check("account_orphans"), **log)
             self.advance(table, staged.agg(month))
         elif target == "digital":
             tables.replace_periods(facts.digital_activity(staged, customers), path)
             known = customers.select(F.col("CustomerID").alias("customer_id"))
             self.log_dq(quality.orphans(staged, known, "customer_id", "month_end"), layer="gold", table="FactDigitalMonthly",
-                        period="month_end", check="Orphan rows (customer not in DimCustomer)", severity="Error", action="Rejected")
+                        period="month_end", **quality.check("customer_orphans"))
             self.advance(table, staged.agg(month))
         elif target == "transactions":
             low, high = staged.agg(*[F.date_format(f("txn_date"), "yyyyMMdd").cast("int") for f in (F.min, F.max)]).first()
             rows = facts.daily_transactions(staged, gold("dim_region"), gold("dim_product"), gold("dim_channel"))
             tables.replace_range(rows, path, low, high)
             self.log_dq(quality.lower_case_codes(staged, "region_code"), layer="gold", table="FactTransactionDaily",
-                        check="Lower-case region code", severity="Info", action="Upper-cased and re-aggregated")
+                        **quality.check("lower_case_region"))
             self.advance(table, staged.agg(F.max("txn_date").alias("month_end")))
         elif target == "branch_activity":
             low, high = staged.agg(*[F.date_format(f("month_end"), "yyyyMMdd").cast("int") for f in (F.min, F.max)]).first()
@@ -163,10 +155,8 @@ class Warehouse:
             rows = facts.complaint_rows(staged, customers, gold("dim_complaint_category"))
             tables.upsert_table(self.spark, rows, path, ["ComplaintID"])
             log = dict(layer="gold", table="FactComplaint")
-            self.log_dq(quality.resolved_before_received(staged), check="Resolved date before received date",
-                        severity="Error", action="Resolved date removed, complaint kept", **log)
-            self.log_dq(quality.late_arrivals(staged), check="Late-arriving records", severity="Info",
-                        action="Upserted by ComplaintID into the correct received month", **log)
+            self.log_dq(quality.resolved_before_received(staged), **quality.check("resolved_early"), **log)
+            self.log_dq(quality.late_arrivals(staged), **quality.check("late_arrivals"), **log)
             self.advance(table, staged.agg(month_end(F.to_date(F.max("received_date"))).alias("month_end")))
         elif target == "fraud":
             tables.upsert_table(self.spark, facts.fraud_rows(staged, customers), path, ["CaseID"])

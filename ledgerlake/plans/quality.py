@@ -6,6 +6,46 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.dates import file_month, month_end
 from ..functions.text import is_lower_case
 
+# Names and severities of the checks as the quality report shows them.
+CHECKS = {
+    "customer_duplicates": ("Duplicate customer rows removed", "Warning"),
+    "customer_region": ("Missing region code", "Warning"),
+    "customer_postcode": ("Non-standard postcode format", "Info"),
+    "customer_future": ("Onboarding date in the future", "Error"),
+    "account_duplicates": ("Duplicate account rows removed", "Warning"),
+    "monthly_duplicates": ("Duplicate rows removed", "Warning"),
+    "negative_savings": ("Negative savings balance (sign error)", "Warning"),
+    "missing_stage": ("Missing IFRS 9 stage", "Warning"),
+    "account_orphans": ("Orphan rows (account not in DimAccount)", "Error"),
+    "customer_orphans": ("Orphan rows (customer not in DimCustomer)", "Error"),
+    "lower_case_region": ("Lower-case region code", "Info"),
+    "resolved_early": ("Resolved date before received date", "Error"),
+    "late_arrivals": ("Late-arriving records", "Info"),
+}
+
+# What the load did about it.
+ACTIONS = {
+    "customer_duplicates": "the newest row of each customer stays",
+    "customer_region": "filled with the most frequent region of the postcode area",
+    "customer_postcode": "rewritten as outward and inward code in capitals",
+    "customer_future": "date emptied, customer marked",
+    "account_duplicates": "one row of each account stays",
+    "monthly_duplicates": "one row of each account and month stays",
+    "negative_savings": "sign turned",
+    "missing_stage": "stage derived from days in arrears",
+    "account_orphans": "rows not loaded",
+    "customer_orphans": "rows not loaded",
+    "lower_case_region": "code put in capitals before adding up",
+    "resolved_early": "complaint loaded without its resolution date",
+    "late_arrivals": "loaded into the month of receipt, in place of an earlier version",
+}
+
+
+def check(name: str) -> dict[str, str]:
+    """Check, severity and action of a log row."""
+    return {"check": CHECKS[name][0], "severity": CHECKS[name][1], "action": ACTIONS[name]}
+
+
 def _one() -> Column:
     return F.lit(1)
 

@@ -460,10 +460,10 @@ def watermark(x):
 
 @query("dq_log", """
 SELECT 'gold' AS layer, 'FactDepositBalanceMonthly' AS table_name, month_end AS period_month_end, 'Duplicate rows removed' AS check_name,
-  'Warning' AS severity, sum(n - 1)::BIGINT AS affected_rows, sum(n)::BIGINT AS total_rows, 'Kept one row per account and month' AS action_taken
+  'Warning' AS severity, sum(n - 1)::BIGINT AS affected_rows, sum(n)::BIGINT AS total_rows, 'one row of each account and month stays' AS action_taken
 FROM (SELECT account_id, month_end, count(*) AS n FROM dep_stage GROUP BY ALL) g GROUP BY month_end HAVING sum(n - 1) > 0""")
 def dq_log(x):
     rows = control.dq_rows(quality.duplicates(x.deposit_rows, ["account_id"], "month_end"), layer="gold",
                            table="FactDepositBalanceMonthly", check="Duplicate rows removed", severity="Warning",
-                           action="Kept one row per account and month", period="month_end")
+                           action="one row of each account and month stays", period="month_end")
     return rows.drop("checked_at_utc")

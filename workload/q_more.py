@@ -330,7 +330,7 @@ def _platform(x) -> Model:
         F.floor("value").cast("bigint").alias("rows_written"), F.date_trunc("hour", "ts").alias("ended_at_utc"),
         F.col("ts").alias("started_at_utc"), F.to_date("ts").alias("run_date"))
     dup = control.dq_rows(quality.duplicates(x.deposit_rows, ["account_id"], "month_end"), layer="gold", table="deposits", period="month_end",
-                          check="Duplicate rows removed", severity="Warning", action="Kept one row per account and month")
+                          check="Duplicate rows removed", severity="Warning", action="one row of each account and month stays")
     stage = control.dq_rows(quality.missing(x.loan_rows, "ifrs9_stage", "month_end"), layer="gold", table="loans", period="month_end",
                             check="Missing stage", severity="Error", action="Imputed from arrears")
     _, marks = _marks(x)
