@@ -84,7 +84,7 @@ def replace_periods(df: DataFrame, path: str, key: str = "DateKey") -> None:
 def replace_parts(df: DataFrame, path: str, key: str, touched: Sequence) -> None:
     """The touched keys get the rows of `df`; those without rows there disappear."""
     spark = df.sparkSession
-    ready = full_reload(df, f"{path}_staged")  # read twice, computed once
+    ready = full_reload(df, f"{path}/_staged")  # read twice, computed once
     replace_periods(ready, path, key)
     filled = {str(r[0]) for r in ready.select(key).distinct().collect()}
     fs, _, jvm = _fs(spark, path)

@@ -146,3 +146,31 @@ def test_preferred_source_wins(spark):
                                   ("2020-01-03", "12345678", "BoE API")], "rate_date string, bank_rate string, source_system string")
     got = facts.valid_rates(both).collect()
     assert [(r["Date"], float(r["BankRate"]), r["SourceSystem"]) for r in got] == [(date(2020, 1, 2), 2.0, "BoE API")]
+
+
+def test_the_calendar_covers_what_facts_carry(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "none"), str(tmp_path / "wh"), LAST_ACTUAL)
+    from ledgerlake.plans import dimensions as dims
+    from ledgerlake.sources import tables
+    tables.full_reload(dims.date_dimension(spark, None, date(2020, 1, 1), date(2020, 12, 31)), w.path("gold", "dim_date"))
+    tables.full_reload(spark.createDataFrame([], "holiday_date date"), w.path("stg", "uk_bank_holidays"))
+    tables.replace_periods(spark.createDataFrame([(20180630, 1.0), (20330131, 2.0)], "DateKey int, v double"), w.path("gold", "fact_branch_activity"))
+    w.cover_facts()
+    assert w.read("gold", "dim_date").agg(F.min("Date"), F.max("Date")).first()[:] == (date(2018, 1, 1), date(2033, 12, 31))
+
+
+def test_vintages_have_no_last_month_on_book(spark):
+    from ledgerlake.plans import marts
+    accounts = spark.createDataFrame([(1, 9, "2010 Q1", date(2010, 1, 15), 100.0)], "AccountKey long, ProductKey long, VintageQuarter string, OpenDate date, OriginalAmount double")
+    accounts = accounts.withColumn("OriginalAmount", F.col("OriginalAmount").cast("decimal(18,2)"))
+    loans = spark.createDataFrame([], "AccountKey long, ProductKey long, DateKey int, ArrearsBucket string, AccountStatus string")
+    products = spark.createDataFrame([(9, "P09")], "ProductKey long, ProductID string")
+    got = marts.loan_vintage(accounts, loans, products, date(2020, 3, 31)).collect()
+    assert sorted(r["MonthsOnBook"] for r in got) == list(range(123))
+
+
+def test_full_and_monthly_loads_end_with_the_newest_delivery(spark):
+    rows = [("c1", "2020/01/a.parquet", None), ("c1", "2020/02/a.parquet", date(2020, 2, 3))]
+    staged = spark.createDataFrame(rows, "complaint_id string, _source_file string, resolved_date date")
+    whole = facts.newest_delivery(staged, "complaint_id").collect()
+    assert [r["resolved_date"] for r in whole] == [date(2020, 2, 3)]
