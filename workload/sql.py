@@ -249,7 +249,7 @@ SELECT complaint_id, c.customer_key, c.region_key, c.segment, c.brand, category_
   CASE WHEN resolved >= received THEN date_diff('day', received, resolved) END AS days,
   CASE WHEN resolved >= received THEN date_diff('day', received, resolved) <= 56 END AS within8, resolved IS NULL AS is_open,
   CASE WHEN resolved < received THEN 'Resolved before received: date removed' END AS dq_flag
-FROM (SELECT *, row_number() OVER (PARTITION BY complaint_id ORDER BY ship_date, category_code, channel, o_custkey::VARCHAR, received,
+FROM (SELECT *, row_number() OVER (PARTITION BY complaint_id ORDER BY ship_date DESC, category_code, channel, o_custkey::VARCHAR, received,
         redress, referred, resolved NULLS FIRST, root_cause, upheld) AS rn FROM (
           SELECT * REPLACE (date_trunc('month', ship_date) AS ship_date) FROM complaint_stage) t) s
 JOIN cust c ON c.c_custkey = s.o_custkey WHERE rn = 1""")
