@@ -17,6 +17,7 @@ QUERIES = [
     "dedupe_latest", "customer_dim", "account_dim", "deposit_fact", "loan_fact", "complaint_fact", "mart_product_pnl",
     "mart_credit_risk", "mart_repricing_shock", "mart_vintage_curve", "mart_customer_monthly", "mart_txn_monthly",
     "nii_by_month_vs_budget", "income_kpis", "cost_of_risk", "bridge_by_year", "story_yearly_nii", "pd_lgd_ead_ecl",
+    "all_kpi_labels",
 ]
 
 
