@@ -15,10 +15,13 @@ and text are not looked at.
 """
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +34,10 @@ from .common import clean_text, new_path, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-#: Bytes of encoded words that a task keeps at most; beyond it starts anew.
+#: Bytes of encoded pieces, and of runs, that a Python worker remembers before it starts anew.
 CACHE_BYTES = 48 << 20
+#: Characters that are encoded at once.
+PORTION = 6 << 20
 MASK_DELTA = 0xA282EAD8
 INDEX_HEAD = "<8sIQ"
 INDEX_MAGIC = b"TOKIDX01"
@@ -46,30 +51,72 @@ def masked(data: bytes) -> int:
     return ((crc >> 15 | crc << 17) + MASK_DELTA) & 0xFFFFFFFF
 
 
+def byte_letters() -> list[str]:
+    """The visible character that stands for each byte in byte-level vocabularies: itself, or the next from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
+
 class WordEncoder:
-    """Ids of texts as bytes. No pre-token of the vocabulary spans ASCII white space and white space gives no id,
-    so the pieces between can be encoded one by one, each distinct piece once."""
+    """Ids of texts as bytes, for vocabularies that lower-case, drop white space and merge within words.
+
+    No piece between ASCII white space takes ids from another, so each different piece is encoded once. Most pieces
+    are a run of plain letters and a run of signs, which such vocabularies split anyway; runs are encoded once too.
+    Other pieces (digits, apostrophes, letters that change when normalised) go through the whole tokenizer.
+    """
+
+    #: Letters that are their own composed form in either case, then signs but the apostrophe.
+    PLAIN = re.compile(r"([A-Za-zß-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)").fullmatch
+    NORMALIZERS, SPLITS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
 
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind, self.known, self.held = Tokenizer.from_file(path), f"<u{width}", {}, 0
-
-    def learn(self, pieces: set[bytes]) -> None:
-        if self.held > CACHE_BYTES:
-            self.known, self.held = {}, 0
-        new = list(pieces.difference(self.known))
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)):
-            ids = np.array(found.ids, dtype=self.kind).tobytes()
-            self.known[piece] = ids
-            self.held += len(piece) + len(ids) + 100
+        self.tokenizer = Tokenizer.from_file(path)
+        parts = json.loads(self.tokenizer.to_str())
+        kinds = [[x["type"] for x in (parts[part] or {}).get(steps, [])] for part, steps in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if kinds != [self.NORMALIZERS, self.SPLITS]:
+            raise ValueError(f"{path} is not of the kind that lower-cases and drops white space")
+        self.merge, self.kind, self.letters = self.tokenizer.model.tokenize, "H" if width == 2 else "I", byte_letters()
+        self.pieces, self.runs, self.run_bytes = Pieces(self.piece), {"": b""}, 0
+
+    def run(self, letters: str) -> bytes:
+        ids = self.runs.get(letters)
+        if ids is None:
+            visible = letters if letters.isascii() else "".join([self.letters[b] for b in letters.encode()])
+            ids = self.runs[letters] = array(self.kind, [t.id for t in self.merge(visible)]).tobytes()
+            self.run_bytes += len(letters) + len(ids) + 100
+        return ids
+
+    def piece(self, piece: bytes) -> bytes:
+        plain = self.PLAIN(text := piece.decode())
+        if plain is None:
+            return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        letters, signs = plain.groups()
+        return self.run(letters.lower()) + self.run(signs)
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.encode().split() for t in texts]
-        self.learn(set().union(*split))
-        get = self.known.__getitem__
-        return (b"".join(map(get, pieces)) for pieces in split)
+        if self.pieces.size > CACHE_BYTES:
+            self.pieces = Pieces(self.piece)
+        if self.run_bytes > CACHE_BYTES:
+            self.runs, self.run_bytes = {"": b""}, 0
+        for text in texts:
+            yield b"".join(map(self.pieces.__getitem__, text.encode().split()))
+
+
+class Pieces(dict):
+    """Ids by piece, found when first asked for."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find, self.size = find, 0
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self[piece] = self.find(piece)
+        self.size += len(piece) + len(ids) + 100
+        return ids
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
@@ -82,6 +129,21 @@ def encoder(path: str, width: int) -> WordEncoder:
     return _ENCODERS[path, width]
 
 
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of about `PORTION` characters at a time."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids.append(doc_id)
+            texts.append(text.as_py())
+            size += len(texts[-1])
+            if size >= PORTION:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def id_width(path: str) -> int:
     from tokenizers import Tokenizer
 
@@ -98,19 +160,18 @@ def write(docs: DataFrame, vocabulary: str, end_id: int = END_ID, out: str | Non
         where, root = pafs.FileSystem.from_uri(out)
         number, encode, end = TaskContext.get().partitionId(), encoder(vocabulary, width), np.array([end_id], f"<u{width}").tobytes()
         name, at, stream, ids, offsets, tokens = f"shard-{number:06d}-{uuid.uuid4().hex}", 0, None, [], [], []
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part, frames = batch.slice(k, 512), []
-                for doc_id, payload in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
-                    payload += end
-                    head = struct.pack("<Q", len(payload))
-                    frames += (head, struct.pack("<I", masked(head)), payload, struct.pack("<I", masked(payload)))
-                    ids.append(doc_id)
-                    offsets.append(at)
-                    tokens.append(len(payload) // width)
-                    at += len(payload) + 16
-                stream = stream or where.open_output_stream(f"{root}/{name}.rec")
-                stream.write(b"".join(frames))
+        for held_ids, texts in portions(batches):
+            frames = []
+            for doc_id, payload in zip(held_ids, encode(texts)):
+                payload += end
+                head = struct.pack("<Q", len(payload))
+                frames += (head, struct.pack("<I", masked(head)), payload, struct.pack("<I", masked(payload)))
+                ids.append(doc_id)
+                offsets.append(at)
+                tokens.append(len(payload) // width)
+                at += len(payload) + 16
+            stream = stream or where.open_output_stream(f"{root}/{name}.rec")
+            stream.write(b"".join(frames))
         if stream is None:
             return
         stream.close()
