@@ -5,6 +5,8 @@ import hashlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Words whose hashes a Python worker remembers before it starts anew.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 _HASHES: dict[bytes, int] = {}
 
 
@@ -45,30 +47,43 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + os.environ["LLM_TEST_SHARED"]
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+#: Paths written since each open `scratch` began.
+_SCRATCH: list[list[str]] = []
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written inside is deleted at the end, but for what is kept. Results must not be read lazily from it."""
+    own: list[str] = []
+    _SCRATCH.append(own)
+    try:
+        yield
+    finally:
+        _SCRATCH.pop()
+        for name in own:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A path in the shared folder that nothing else uses; kept ones belong to the scratch around, if there is one."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if len(_SCRATCH) > keep:
+        _SCRATCH[-1 - keep].append(path)
+    return path
+
+
+def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write `df` once as Parquet into the shared folder and return the written table.
 
     Cuts the lineage: a lost executor costs a read, not the computation.
     """
-    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    spark, path = df.sparkSession, new_path(df.sparkSession, name, keep)
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def drop(df: DataFrame) -> None:
-    """Delete the files of a table made by `saved` that nothing reads any more."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def id_remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

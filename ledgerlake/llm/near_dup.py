@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import clean_text, saved, table, word_hashes
+from .common import clean_text, saved, scratch, table, word_hashes
 from .phrase_index import words
 
 SHINGLE = 5
@@ -217,7 +217,8 @@ def candidates(texts: DataFrame) -> DataFrame:
     members = saved(buckets.join(hubs, "bucket").select("hub", "t", "n_bytes").distinct(), "hub-members")
     sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes"))
     tiles = F.ceil(F.greatest(F.col("n") / TILE_TEXTS, F.col("bytes") / TILE_BYTES))
-    placed = members.join(sizes.select("hub", tiles.alias("tiles")), "hub")
+    # written, so that the members of a large hub are not dealt by hub for the sum, and the join may split them
+    placed = members.join(saved(sizes.select("hub", tiles.alias("tiles")), "hub-sizes"), "hub")
     return placed.select("hub", "t", F.pmod(F.xxhash64("t"), F.col("tiles")).alias("tile"), "tiles")
 
 
@@ -282,11 +283,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, digest, label (a number of the class) of each row of `docs`."""
-    signed = signatures(docs)
-    texts = different_texts(signed)
-    labels = components(linked(docs, texts))
-    named = texts.select("key", "t").join(labels, "t", "left").select("key", F.coalesce("label", "t").alias("label"))
-    return saved(signed.select("doc_id", "digest", "key").join(named, "key").select("doc_id", "digest", "label"), "classes")
+    with scratch(docs.sparkSession):
+        signed = signatures(docs)
+        texts = different_texts(signed)
+        labels = components(linked(docs, texts))
+        named = texts.select("key", "t").join(labels, "t", "left").select("key", F.coalesce("label", "t").alias("label"))
+        return saved(signed.select("doc_id", "digest", "key").join(named, "key").select("doc_id", "digest", "label"), "classes", keep=True)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import clean_text, new_path, saved, table
+from .common import clean_text, new_path, saved, scratch, table
 
 WINDOW = 10
 #: A segment is closed once its texts have so many bytes.
@@ -244,11 +244,13 @@ def exact_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
 
 def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of `docs` in whose text no window of an item occurs, with their columns."""
-    index = build(docs)
-    bad = occurrences(index, phrases(items, window)).select("segment", "place").distinct().join(documents_of(index), ["segment", "place"]).select("digest").distinct()
+    with scratch(docs.sparkSession):
+        index = build(docs)
+        bad = occurrences(index, phrases(items, window)).select("segment", "place").distinct().join(documents_of(index), ["segment", "place"])
+        bad = saved(bad.select("digest").distinct(), "contaminated", keep=True)
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row"), _digest(clean_text(F.col("text"))))
-    return rows.join(saved(bad, "contaminated"), "digest", "left_anti").select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)])
+    return rows.join(bad, "digest", "left_anti").select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)])
 
 
 def op4_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,8 +24,9 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import clean_text, id_remainder, saved, table
+from .common import id_remainder, saved, scratch, table
 
 HELD_OUT = (5, 0)
 ALPHA = 0.01
@@ -34,12 +35,14 @@ LEAST_SHARE = 0.7
 #: Size bound of the lexicon; terms with most evidence first. It bounds what every task is sent.
 MAX_TERMS = 5_000
 STEMS = range(4, 9)
-#: Labelled texts that the logistic model is fitted on at most.
+#: Labelled texts that the logistic model is fitted on, about, drawn by the hash of the text.
 FIT_ROWS = 20_000
+#: Words and pairs that a task counts before it passes them on.
+HELD_WORDS = 1_000_000
 #: Words on either side of a match that make its context.
 AROUND = 6
 #: Words that a Python worker remembers before it starts anew.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 400_000
 
 TOKEN = re.compile(r"[^\W_]+")
 # Signs and words that mark quotation, and words of address.
@@ -207,42 +210,73 @@ def _in_quotes(text: str) -> list[bool]:
     return out
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, toxic of the different labelled texts outside the held-out fold."""
-    known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n, out = HELD_OUT
-    rows = docs.where(id_remainder(F.col("doc_id"), n) != out).select("doc_id", "text").join(known, "doc_id")
-    return rows.where("text IS NOT NULL").groupBy(F.xxhash64("text").alias("h1"), F.md5("text").alias("h2")).agg(
-        F.max("text").alias("text"), F.max("toxic").cast("int").alias("toxic")).select("text", "toxic", "h1")
+def counted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """One reading of the labelled texts outside the held-out fold, written as rows of three kinds:
 
+    word, before (null), neg, pos: other and toxic texts of a batch that hold the word;
+    word, before: a word that precedes it in toxic texts;
+    text, toxic: the sample to fit on. Rows without word and text count texts.
+    """
+    n, out = HELD_OUT
+    # Labels grow with the corpus, so the join shuffles at every size; the comparison lets Spark put a Bloom filter of
+    # the labelled ids, of bounded size, before the shuffle of texts.
+    known = labels.where("toxic >= 0").where(id_remainder(F.col("doc_id"), n) != out).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    share = min(1.0, FIT_ROWS / max(1, known.count()))
+    rows = docs.where(id_remainder(F.col("doc_id"), n) != out).where("text IS NOT NULL").select("doc_id", "text").join(known.hint("merge"), "doc_id")
+    rows = rows.select("text", "toxic", (F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20)).alias("picked"))
+    schema = pa.schema([("word", pa.string()), ("before", pa.string()), ("neg", pa.int64()), ("pos", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())])
 
-def vocabulary(rows: DataFrame) -> DataFrame:
-    """word, pos, neg: toxic and other texts that hold it; toxic ones at most as often as it has different predecessors there."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out_rows(pairs: set, texts: tuple[Counter, Counter]) -> pa.RecordBatch:
+            held = list(texts[0].keys() | texts[1].keys())
+            size = len(held) + len(pairs)
+            return pa.RecordBatch.from_arrays([
+                pa.array(held + [w for w, _ in pairs], pa.string()), pa.array([None] * len(held) + [b for _, b in pairs], pa.string()),
+                *[pa.array([t[w] for w in held] + [0] * len(pairs), pa.int64()) for t in texts], pa.nulls(size, pa.string()), pa.nulls(size, pa.int32())], schema=schema)
+
+        pairs, texts = set(), (Counter(), Counter())
         for batch in batches:
-            pairs, texts = set(), (Counter(), Counter())
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            numbers, picked = [0, 0], []
+            for text, toxic, pick in zip(batch.column(0), *(c.to_pylist() for c in batch.columns[1:])):
+                text = text.as_py()
                 tokens = TOKEN.findall(text.lower())
                 texts[bool(toxic)].update(set(tokens))
+                numbers[bool(toxic)] += 1
                 if toxic:
                     pairs.update(zip(tokens, ["", *tokens]))
-            held = list(texts[0].keys() | texts[1].keys())
+                if pick:
+                    picked.append((text, int(bool(toxic))))
+                if len(pairs) + len(texts[0]) + len(texts[1]) > HELD_WORDS:
+                    yield out_rows(pairs, texts)
+                    pairs, texts = set(), (Counter(), Counter())
+            size = 1 + len(picked)
             yield pa.RecordBatch.from_arrays([
-                pa.array(held + [w for w, _ in pairs], pa.string()), pa.array([None] * len(held) + [b for _, b in pairs], pa.string()),
-                *[pa.array([t[w] for w in held] + [0] * len(pairs), pa.int64()) for t in texts]], names=["word", "before", "neg", "pos"])
+                pa.nulls(size, pa.string()), pa.nulls(size, pa.string()), *[pa.array([v] + [0] * len(picked), pa.int64()) for v in numbers],
+                pa.array([None] + [t for t, _ in picked], pa.string()), pa.array([None] + [x for _, x in picked], pa.int32())], schema=schema)
+        yield out_rows(pairs, texts)
+
+    return saved(rows.mapInArrow(count, "word string, before string, neg long, pos long, text string, toxic int"), "toxic-counts")
 
-    counted = rows.select("text", "toxic").mapInArrow(count, "word string, before string, neg long, pos long")
-    pairs = counted.groupBy("word", "before").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
-    # Words with no toxic use have no predecessor and keep pos = 0.
-    return pairs.groupBy("word").agg(F.least(F.sum("pos"), F.count("before")).alias("pos"), F.sum("neg").alias("neg"))
+
+def vocabulary(counts: DataFrame) -> DataFrame:
+    """word, pos, neg: toxic and other texts that hold it; toxic ones at most as often as it has different predecessors there."""
+    words = counts.where("word IS NOT NULL AND before IS NULL").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    befores = counts.where("before IS NOT NULL").select("word", "before").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("befores"))
+    return words.join(befores, "word", "left").select("word", F.least("pos", F.coalesce("befores", F.lit(0))).alias("pos"), "neg")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = saved(training_rows(docs, labels), "toxic-training")
-    n_pos, n_neg = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.when(F.col("toxic") == 0, 1))).first()
+    """The model; what is counted for it is deleted again."""
+    with scratch(docs.sparkSession):
+        return _fit(docs, labels)
+
+
+def _fit(docs: DataFrame, labels: DataFrame) -> Model:
+    counts = counted(docs, labels)
+    n_pos, n_neg = counts.where("word IS NULL AND text IS NULL").agg(F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))).first()
     if not n_pos or not n_neg:
         return Model(weights=[0.0] * len(FEATURES) + [-30.0])
-    vocab = saved(vocabulary(rows), "toxic-vocabulary")
+    vocab = saved(vocabulary(counts), "toxic-vocabulary")
     uses, rest, n_words = vocab.agg(F.sum("pos"), F.sum("neg"), F.count(F.lit(1))).first()
     rate = uses / (uses + rest)
     stems = vocab.where(F.length("word") > 1).select(F.explode(F.expr(
@@ -273,7 +307,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     words = {w: v for w, v in words.items() if not any(w[:k] in stems_kept for k in STEMS)}
     model = Model(words, stems_kept, weights=[0.0] * (len(FEATURES) + 1))
     model.forms = _seen_forms(vocab, model, evidence)
-    model.weights = _fit_weights(rows, model)
+    model.weights = _fit_weights(counts.where("text IS NOT NULL").select("text", "toxic"), model)
     return model
 
 
@@ -290,13 +324,12 @@ def _seen_forms(vocab: DataFrame, model: Model, evidence) -> dict[str, float]:
 
 
 def _fit_weights(rows: DataFrame, model: Model) -> list[float]:
-    """Logistic regression with a small penalty, by Newton steps, on a sample of `FIT_ROWS` texts in order of their hash."""
+    """Logistic regression with a small penalty, by Newton steps, on the sampled texts."""
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([model.features(t) for t in batch.column(0).to_pylist()], pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
-    sample = rows.orderBy("h1").limit(FIT_ROWS).select("text", "toxic")
-    data = sample.repartition(16).mapInArrow(features, "x array<double>, toxic int").collect()
+    data = rows.mapInArrow(features, "x array<double>, toxic int").collect()
     x = np.array([[*r["x"], 1.0] for r in data])
     y = np.array([r["toxic"] for r in data], float)
     order = np.lexsort(np.column_stack([x, y]).T)
@@ -311,28 +344,35 @@ def _fit_weights(rows: DataFrame, model: Model) -> list[float]:
     return [float(v) for v in w]
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with score and predicted. The model's size is bounded by MAX_TERMS and what edits make of them."""
-    names = docs.columns
+def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """`docs` with score and predicted, which take the place of columns of these names.
+
+    The model that every task is sent is bounded by MAX_TERMS and what edits make of them.
+    """
+    names = [c for c in docs.columns if c not in ("score", "predicted")]
+    path = text.split(".")
+
+    def _at(batch: pa.RecordBatch) -> pa.Array:
+        """The text column, or the field of that name in a column of structs."""
+        column = batch.column(names.index(path[0]))
+        return column.field(path[1]) if len(path) > 1 else column
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
-            scores = [model.score(t) for t in batch.column(at).to_pylist()]
-            rest = [k for k in range(batch.num_columns) if k != at]
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in rest], pa.array(scores, pa.float64())], names=[*[f"c{k}" for k in rest], "_score"])
-
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], clean_text(F.col("text")).alias("_text"))
-    from pyspark.sql.types import DoubleType, StructField, StructType
-    schema = StructType([*rows.schema.fields[:-1], StructField("_score", DoubleType())])
-    out = rows.mapInArrow(run, schema)
+            scores = [model.score(text.as_py() or "") for text in _at(batch)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "_score"])
+
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)])
+    out = rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("_score", DoubleType())]))
     return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)], F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents not predicted toxic, with the columns of `docs`."""
-    scored = score(docs.select(*[F.col(f"`{c}`").alias(c) for c in docs.columns]), fit(docs, labels))
-    return scored.where("predicted = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row"))
+    kept = score(rows, fit(docs, labels), f"row.c{names.index('text')}").where("predicted = 0")
+    return kept.select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)])
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
