@@ -229,8 +229,10 @@ def _each_block(left: DataFrame, right: DataFrame, run, schema: str) -> DataFram
         found = {k: np.frombuffer(b"".join(b for x, b in zip(kinds, blobs) if x == k), "u1") for k in range(4)}
         return pa.Table.from_batches([run(own.to_pylist()[0], found)])
 
-    left = left.withColumnRenamed("block", "of_block")
-    return left.groupBy("of_block").cogroup(right.groupBy("block")).applyInArrow(meet, schema)
+    # What is shuffled is small beside the texts that a task then reads, so a task gets about one block.
+    n = max(1, left.count())
+    left = left.withColumnRenamed("block", "of_block").repartition(n, "of_block")
+    return left.groupBy("of_block").cogroup(right.repartition(n, "block").groupBy("block")).applyInArrow(meet, schema)
 
 
 def contexts(files: DataFrame, marks: DataFrame, out: str, bits: int) -> DataFrame:
@@ -403,7 +405,7 @@ def _digests(rows: np.ndarray) -> np.ndarray:
     return np.frombuffer(found, [("a", "<u8"), ("b", "<u8")])
 
 
-def compare(rows: DataFrame) -> DataFrame:
+def compare(rows: DataFrame, bits: int) -> DataFrame:
     """Per block and bucket, which windows of its open contexts repeat."""
     def run(key: tuple, part: pa.Table) -> pa.Table:
         seed, before, windows = ([np.frombuffer(x, kind) for x in part[c].to_pylist()] for c, kind in (("keys", "<u8"), ("before", "u1"), ("windows", "u1")))
@@ -421,7 +423,7 @@ def compare(rows: DataFrame) -> DataFrame:
         marks[np.concatenate([np.arange(x, x + n) for x, n in zip(first[order], w[order])])] = found
         return _marks(part, 2, key[0].as_py(), np.split(marks, np.cumsum(per_row)[:-1]))
 
-    return rows.where("what = 'contexts'").select("block", "bucket", "keys", "before", "windows", "bytes").groupBy("bucket").applyInArrow(run, MARKS)
+    return rows.where("what = 'contexts'").select("block", "bucket", "keys", "before", "windows", "bytes").repartition(max(8, 1 << bits >> 3), "bucket").groupBy("bucket").applyInArrow(run, MARKS)
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin: long, end: long>>, kept binary"
@@ -486,7 +488,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     found = contexts(files(blocks), repeated(blocks, 0), out, bits)
     known = saved(verdicts(found), "verdicts")
     open_ = bring(files(found), known, bits)
-    marks = known.unionByName(compare(open_)).unionByName(repeated(open_.where("what = 'hot'"), 3))
+    marks = known.unionByName(compare(open_, bits)).unionByName(repeated(open_.where("what = 'hot'"), 3))
     return finish(files(found), marks, with_text)
 
 
