@@ -27,6 +27,7 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import clean_text, id_remainder, new_path, saved, table, word_hashes
+from .common import clean_text, id_remainder, new_path, saved, table
 
 HELD_OUT = (7, 2)
 #: Bytes of context; up to 7.
@@ -59,13 +60,18 @@ U = np.uint64
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> np.ndarray:
     """All n-grams of the texts, each with its end mark, in order: the last two context bytes, the others, the byte."""
-    joined = np.frombuffer(b"".join(x for t in texts for x in (bytes(depth), t, b"\0")), np.uint8)
-    sizes = np.array([len(t) + 1 for t in texts], "i8")
-    at = np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)) * depth, sizes)
-    out = np.zeros(len(at), U)
+    start = bytes(depth)
+    joined = np.frombuffer(b"".join(x for t in texts for x in (start, t, b"\0")), np.uint8).astype(U)
+    n = len(joined) - depth
+    out = np.zeros(n, U)
     for k in (*range(depth - TOP, depth), *range(depth - TOP), depth):
-        out = out << U(8) | joined[at + k]
-    return out
+        out <<= U(8)
+        out |= joined[k:n + k]
+    # what begins behind a text's last context reaches into the next text
+    ends = np.cumsum([len(t) + 1 + depth for t in texts])[:-1]
+    keep = np.ones(n, bool)
+    keep[(ends[:, None] - 1 - np.arange(depth)[None, :]).ravel()] = False
+    return out[keep]
 
 
 def in_order(bucket: int, keys: np.ndarray, depth: int) -> np.ndarray:
@@ -120,8 +126,9 @@ class Block:
                 self.counts.append(n * (not side))
             for t in own:
                 if side:
-                    for w in set(t.split()).difference(self.words):
-                        self.words[w] = 0
+                    for w in set(t.split()):
+                        if w not in self.words:
+                            self.words[w] = 0
                 else:
                     self.words.update(t.split())
             self.n_train += len(own) * (not side)
@@ -130,14 +137,24 @@ class Block:
         self.stream.write_batch(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(texts, pa.binary())], schema=self.schema))
         self.size += sum(map(len, texts))
 
+    def write_keys(self, columns: dict[str, pa.Array]) -> None:
+        where, name = pafs.FileSystem.from_uri(self.path)
+        for column, values in columns.items():
+            with where.open_output_stream(f"{name}.{column}") as f, pa.ipc.new_stream(f, pa.schema([(column, values.type)]), options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_batch(pa.RecordBatch.from_arrays([values], names=[column]))
+
     def close(self) -> Iterator[pa.RecordBatch]:
         self.stream.close()
         self.file.close()
         u, n = added(self.keys, self.counts)
         parts = [packed(GRAM, u, n, 8 * (self.depth + 1 - TOP), self.depth > 5)]
         held = list(self.words)
-        u, n = added([word_hashes(held)], [np.fromiter(self.words.values(), "i8", len(held))]) if held else (np.zeros(0, U), np.zeros(0, "i8"))
-        parts.append(packed(WORD, u, n, 64 - WORD_BITS, True))
+        hashes = np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in held), "<u8")
+        order = np.argsort(hashes, kind="stable")
+        w, n = added([hashes], [np.fromiter(self.words.values(), "i8", len(held))])
+        parts.append(packed(WORD, w, n, 64 - WORD_BITS, True))
+        # n-grams and words in the order that their values will come in
+        self.write_keys({"gram": pa.array(u), "word": pa.array([held[k] for k in order], pa.binary()), "place": pa.array(np.searchsorted(w, hashes[order]))})
         yield block_rows([self.number], [self.path], [self.n_train])
         for p in parts:
             yield block_rows([self.number] * p.num_rows, None, None, p)
@@ -209,7 +226,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     x = np.asarray(x, float)
     shift = np.log(np.prod([x + k for k in range(8)], axis=0))
     z = x + 8
-    series = 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - 1 / (1680 * z**7)
+    series = 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - 1 / (1680 * z**7) + 1 / (1188 * z**9)
     return (z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + series - shift
 
 
@@ -303,8 +320,10 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield tuple(v.as_py() for v in row)
 
 
-def values(merged: DataFrame, depth: int = DEPTH) -> DataFrame:
+def values(merged: DataFrame, n_blocks: int, depth: int = DEPTH) -> DataFrame:
     """kind, bucket, keys, found: for each key the log10 probability of its byte (32 bit), or the word's count (64 bit)."""
+    merged = merged.repartition(max(8, n_blocks))  # few bytes, much work
+
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, keys, counts in _each(batches):
             tree = Subtree(in_order(bucket, unpack(GRAM, keys, depth), depth), np.frombuffer(counts, "<i8"), depth, TOP)
@@ -358,12 +377,17 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     tokens, different = merged.where(F.col("kind") == WORD).select("counts").mapInArrow(totals, "n long, v long").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v")]).first()
     tokens, different = tokens + ends, different + (ends > 0)
     rest = tokens + different + 1
-    handed = hand_out(rows, values(merged, depth), n_blocks, depth)
+    handed = hand_out(rows, values(merged, n_blocks, depth), n_blocks, depth)
     columns = [f.split()[0] for f in RESULT.split(", ")]
     kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
 
     def sums(key: tuple, file: pa.Table, found: pa.Table) -> pa.Table:
         where, name = pafs.FileSystem.from_uri(file["path"][0].as_py())
+
+        def read(column: str) -> pa.ChunkedArray:
+            with where.open_input_file(f"{name}.{column}") as f:
+                return pa.ipc.open_stream(f).read_all()[column]
+
         with where.open_input_file(name) as f:
             held = pa.ipc.open_stream(f).read_all().combine_chunks()
         texts = held["text"].to_pylist()
@@ -372,16 +396,13 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         data = found["found"].to_pylist()
         value = np.frombuffer(b"".join(d for k, d in zip(kind, data) if k == GRAM), "<f4")
         counts = np.frombuffer(b"".join(d for k, d in zip(kind, data) if k == WORD), "<i8")
-        # The block's keys, as when it was cut: values come in the order of its sorted keys.
+        unique = read("gram").to_numpy()
         pieces, size, start = [], 0, 0
         for k, t in enumerate(texts, 1):
             size += len(t)
             if size >= AT_ONCE or k == len(texts):
                 pieces.append((start, k))
                 start, size = k, 0
-        unique = np.zeros(0, U)
-        for a, b in pieces:
-            unique = np.union1d(unique, grams(texts[a:b], depth))
         scores = []
         for a, b in pieces:
             own = grams(texts[a:b], depth)
@@ -391,8 +412,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             ends_at = np.cumsum([len(t) + 1 for t in texts[a:b]])
             scores.append(np.add.reduceat(logs, np.concatenate(([0], ends_at[:-1]))))
         scores = np.concatenate(scores)
-        words = list(set().union(*(t.split() for t in texts)))
-        known = dict(zip(words, counts[np.unique(word_hashes(words), return_inverse=True)[1]].astype(float))) if words else {}
+        known = dict(zip(read("word").to_pylist(), counts[read("place").to_numpy()].astype(float)))
         out = []
         for doc_id, is_out, text, s in zip(held["doc_id"].to_pylist(), held["held_out"].to_pylist(), texts, scores):
             own = text.split()
@@ -401,7 +421,10 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             out.append((doc_id, is_out, len(c), int((c > 0).sum()), tokens, float(np.log10((c + 1) / rest).sum()), float(s), len(text)))
         return pa.table([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=columns)
 
-    return files.select(F.col("block").alias("of_block"), "path").groupBy("of_block").cogroup(handed.groupBy("block")).applyInArrow(sums, RESULT)
+    # What is shuffled is small beside the texts that a task then reads, so a task gets about one block.
+    n = max(1, n_blocks)
+    files = files.select(F.col("block").alias("of_block"), "path").repartition(n, "of_block")
+    return files.groupBy("of_block").cogroup(handed.repartition(n, "block").groupBy("block")).applyInArrow(sums, RESULT)
 
 
 def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
