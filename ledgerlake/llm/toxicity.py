@@ -1,8 +1,9 @@
 """Toxicity by a learnt lexicon, found despite misspellings, and read in its context.
 
-1. Lexicon: words, and stems that start words, which labelled toxic texts use far more often than others. Toxic
-   texts count only as often as the word follows different words there, so that near copies of one text count once.
-   A term enters if such an excess would be chance with a probability of `ALPHA` over all words tested.
+1. Lexicon: words, and stems that start words, which labelled toxic texts use far more often than others. Toxic and
+   other texts count alike: copies and most near copies of one text fall into one class (`copy_class`), and a word
+   counts once for every class with a text that holds it. A term enters if such an excess would be chance with a
+   probability of `ALPHA` over all words tested.
 2. Matching: the lexicon is a trie. A Levenshtein automaton runs along it: a state holds trie nodes with the errors
    made so far, and successor states are made when first needed and kept. One edit is allowed in terms of 5 letters
    or more, two from 10. A misspelt form that training texts hold counts by its own evidence, not its neighbour's.
@@ -24,9 +25,9 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import id_remainder, saved, scratch, table
+from .common import id_remainder, saved, scratch, table, word_hashes
 
 HELD_OUT = (5, 0)
 ALPHA = 0.01
@@ -210,40 +211,77 @@ def _in_quotes(text: str) -> list[bool]:
     return out
 
 
+def copy_class(tokens: list[str]) -> int:
+    """The least hash of three successive words: the same for copies, nearly always for near copies of some length.
+
+    Texts that only share a phrase agree as seldom as the phrase makes out their words.
+    """
+    h = word_hashes([t.encode() for t in tokens])
+    for _ in range(min(3, len(h)) - 1):
+        h = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] + (h[:-1] >> np.uint64(29)))
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return int((h ^ (h >> np.uint64(32))).min().astype(np.int64)) if len(h) else 0
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, toxic, alone: labelled ids outside the held-out fold, and whether each text is the only one of its class.
+
+    Most texts are alone and need no comparison of their words with those of others.
+    """
+    n, out = HELD_OUT
+    known = labels.where("toxic >= 0").where(id_remainder(F.col("doc_id"), n) != out).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [copy_class(TOKEN.findall(t.as_py().lower())) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64())], names=["doc_id", "class"])
+
+    texts = docs.where(id_remainder(F.col("doc_id"), n) != out).where("text IS NOT NULL").select("doc_id", "text")
+    found = texts.mapInArrow(classes, StructType([texts.schema["doc_id"], StructField("class", LongType())]))
+    rows = saved(found.join(known, "doc_id"), "toxic-classes")
+    single = rows.groupBy("toxic", "class").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1")
+    single = single.groupBy("doc_id").agg(F.count(F.lit(1)).alias("single"))
+    ids = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).join(single, "doc_id", "left")
+    return saved(ids.select("doc_id", "toxic", (F.coalesce("single", F.lit(0)) == F.col("n")).alias("alone")), "toxic-labelled")
+
+
 def counted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One reading of the labelled texts outside the held-out fold, written as rows of three kinds:
+    """The labelled texts outside the held-out fold as rows of three kinds:
 
-    word, before (null), neg, pos: other and toxic texts of a batch that hold the word;
-    word, before: a word that precedes it in toxic texts;
+    word, class (null), neg, pos: other and toxic texts of a batch, alone in their class, that hold the word;
+    word, class, neg, pos: a class of other (neg = 1) or toxic (pos = 1) texts with one that holds the word;
     text, toxic: the sample to fit on. Rows without word and text count texts.
     """
     n, out = HELD_OUT
     # Labels grow with the corpus, so the join shuffles at every size; the comparison lets Spark put a Bloom filter of
     # the labelled ids, of bounded size, before the shuffle of texts.
-    known = labels.where("toxic >= 0").where(id_remainder(F.col("doc_id"), n) != out).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = labelled(docs, labels).where("toxic >= 0")
     share = min(1.0, FIT_ROWS / max(1, known.count()))
     rows = docs.where(id_remainder(F.col("doc_id"), n) != out).where("text IS NOT NULL").select("doc_id", "text").join(known.hint("merge"), "doc_id")
-    rows = rows.select("text", "toxic", (F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20)).alias("picked"))
-    schema = pa.schema([("word", pa.string()), ("before", pa.string()), ("neg", pa.int64()), ("pos", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())])
+    rows = rows.select("text", "toxic", (F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20)).alias("picked"), "alone")
+    schema = pa.schema([("word", pa.string()), ("class", pa.int64()), ("neg", pa.int64()), ("pos", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out_rows(pairs: set, texts: tuple[Counter, Counter]) -> pa.RecordBatch:
             held = list(texts[0].keys() | texts[1].keys())
             size = len(held) + len(pairs)
             return pa.RecordBatch.from_arrays([
-                pa.array(held + [w for w, _ in pairs], pa.string()), pa.array([None] * len(held) + [b for _, b in pairs], pa.string()),
-                *[pa.array([t[w] for w in held] + [0] * len(pairs), pa.int64()) for t in texts], pa.nulls(size, pa.string()), pa.nulls(size, pa.int32())], schema=schema)
+                pa.array(held + [p[0] for p in pairs], pa.string()), pa.array([None] * len(held) + [p[1] for p in pairs], pa.int64()),
+                *[pa.array([t[w] for w in held] + [int(p[2] == k) for p in pairs], pa.int64()) for k, t in enumerate(texts)],
+                pa.nulls(size, pa.string()), pa.nulls(size, pa.int32())], schema=schema)
 
         pairs, texts = set(), (Counter(), Counter())
         for batch in batches:
             numbers, picked = [0, 0], []
-            for text, toxic, pick in zip(batch.column(0), *(c.to_pylist() for c in batch.columns[1:])):
+            for text, toxic, pick, alone in zip(batch.column(0), *(c.to_pylist() for c in batch.columns[1:])):
                 text = text.as_py()
                 tokens = TOKEN.findall(text.lower())
-                texts[bool(toxic)].update(set(tokens))
                 numbers[bool(toxic)] += 1
-                if toxic:
-                    pairs.update(zip(tokens, ["", *tokens]))
+                if alone:
+                    texts[bool(toxic)].update(set(tokens))
+                else:
+                    key = copy_class(tokens)
+                    pairs.update((w, key, int(bool(toxic))) for w in set(tokens))
                 if pick:
                     picked.append((text, int(bool(toxic))))
                 if len(pairs) + len(texts[0]) + len(texts[1]) > HELD_WORDS:
@@ -255,14 +293,14 @@ def counted(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 pa.array([None] + [t for t, _ in picked], pa.string()), pa.array([None] + [x for _, x in picked], pa.int32())], schema=schema)
         yield out_rows(pairs, texts)
 
-    return saved(rows.mapInArrow(count, "word string, before string, neg long, pos long, text string, toxic int"), "toxic-counts")
+    return saved(rows.mapInArrow(count, "word string, class long, neg long, pos long, text string, toxic int"), "toxic-counts")
 
 
 def vocabulary(counts: DataFrame) -> DataFrame:
-    """word, pos, neg: toxic and other texts that hold it; toxic ones at most as often as it has different predecessors there."""
-    words = counts.where("word IS NOT NULL AND before IS NULL").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    befores = counts.where("before IS NOT NULL").select("word", "before").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("befores"))
-    return words.join(befores, "word", "left").select("word", F.least("pos", F.coalesce("befores", F.lit(0))).alias("pos"), "neg")
+    """word, pos, neg: classes of toxic and of other texts with one that holds it."""
+    rows = counts.where("word IS NOT NULL").select("word", "class", "neg", "pos")
+    shared = rows.where("class IS NOT NULL").distinct()
+    return rows.where("class IS NULL").unionByName(shared).groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:

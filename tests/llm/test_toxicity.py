@@ -82,6 +82,34 @@ def test_copies_count_once(spark, docs_of):
     assert "thatword" not in model.words and "grumpkin" in model.words
 
 
+def test_a_slur_after_few_words_stays_despite_quotations(spark, docs_of):
+    """Many toxic texts, three different words before the slur, and clean texts that quote it: the share is of texts."""
+    rows, labels = corpus(900)
+    rng = random.Random(5)
+    for k, (i, text) in enumerate(rows):
+        words = text.split()
+        if labels[i][2]:
+            words[3:3] = [("you", "utter", "filthy")[k % 3], "quobble"]
+        elif k % 30 == 1:
+            words.insert(rng.randrange(len(words)), "quobble")
+        rows[k] = (i, " ".join(words))
+    model = tx.fit(docs_of(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert "quobble" in model.words
+
+
+def test_classes_count_alike_on_both_sides(spark, docs_of):
+    """Copies count once among toxic and among other texts, and every word of any copy counts."""
+    text = "one two three four five six seven eight nine ten"
+    rows = [(k, text) for k in range(40)] + [(100 + k, f"{text} other{k} lone words here") for k in range(3)]
+    marks = spark.createDataFrame([(k, 1, k % 2) for k, _ in rows], "doc_id long, quality int, toxic int")
+    got = {r["word"]: (r["pos"], r["neg"]) for r in tx.vocabulary(tx.counted(docs_of(rows), marks)).collect()}
+    side = lambda k, t: tx.copy_class(t.split()) if zlib.crc32(str(k).encode()) % 5 else None
+    for word in ("one", "lone", "other0", "other1", "other2"):
+        held = {(k % 2, side(k, t)) for k, t in rows if word in t.split() and side(k, t) is not None}
+        assert got.get(word, (0, 0)) == (sum(x for x, _ in held), sum(1 - x for x, _ in held)), word
+    assert got["one"][0] <= 4 and got["one"][1] <= 4
+
+
 def test_keep_clean_keeps_columns_and_clean_rows(spark, docs_of):
     rows, labels = corpus(400)
     table = docs_of(rows)
