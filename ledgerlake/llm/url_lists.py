@@ -2,16 +2,17 @@
 
 A list is a feed of dated changes: on a day a domain, a path prefix or an address is added or removed. Changes of
 one entry become validity intervals (from the day of an addition to the day before its next removal). A capture is
-judged as of its own day: active entries for its address, its first path segment, its host and every parent domain
+judged as of its own day: active entries for its address, each of its path prefixes, its host and every parent domain
 count; the most specific one decides, and "allow" beats "block" among equals. Only DataFrame functions are used.
 
-Skew: hosts are made distinct before parent domains are looked up, so a host that owns a third of all captures
-costs one row there; captures themselves are joined by key to tables with one row per key, in joins that AQE may
+Skew: hosts are made distinct before parent domains are looked up, and paths before their prefixes are, so a host that
+owns a third of all captures costs one row there; captures themselves are joined by key to tables with one row per key, in joins that AQE may
 split. What one key can gather is bounded by the days and the lists there are, not by captures.
 
 Defined cases: a null, blank or unparsable address, a host of over 253 characters and a null day match nothing
 ("none", kept); on one day an addition beats a removal; entries with a null field are void; repeated captures are
-each judged; an empty feed or table gives "none" or no rows; further columns pass through, and only names that
+each judged; prefixes are host and whole path segments without a closing slash, of any number, and longer ones are more
+specific; an empty feed or table gives "none" or no rows; further columns pass through, and only names that
 begin with "_" are reserved.
 """
 from __future__ import annotations
@@ -25,9 +26,10 @@ MAX_HOST = 253
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://"
 HOST = SCHEME + r"(?:[^/?#@]*@)?([^/?#:@]+)"
 SEGMENT = SCHEME + r"[^/?#]*/([^/?#]+)"
+PATH = SCHEME + r"[^/?#]*/([^?#]+)"
 REST = SCHEME + r"[^/?#]*([^#]*)"
-#: How specific a match is: an address, a path prefix, else the number of labels of the domain.
-RANK = {"url": 2000, "prefix": 1000}
+#: How specific a match is: an address, a path prefix (and its number of segments), else the number of labels of the domain.
+RANK = {"url": 2_000_000_000, "prefix": 1000}
 
 
 def host_of(url: Column) -> Column:
@@ -42,6 +44,12 @@ def prefix_of(url: Column) -> Column:
     return F.when(segment != "", F.concat(host_of(url), F.lit("/"), segment))
 
 
+def path_of(url: Column) -> Column:
+    """Host and all path segments."""
+    path = F.regexp_extract(url, PATH, 1)
+    return F.when(path != "", F.concat(host_of(url), F.lit("/"), path))
+
+
 def address_of(url: Column) -> Column:
     """Host, path and query; no scheme, port, fragment or closing slash."""
     return F.concat(host_of(url), F.regexp_replace(F.regexp_extract(url, REST, 1), r"/$", ""))
@@ -58,9 +66,16 @@ def intervals(entries: DataFrame) -> DataFrame:
     return turn.withColumn("until", until).where("added").select(*key, F.col("dated").alias("since"), "until")
 
 
+def _depth(prefix: Column) -> Column:
+    """Path segments of a prefix."""
+    return F.size(F.split(prefix, "/")) - 1
+
+
 def _rules(valid: DataFrame, kind: str, key: str) -> DataFrame:
     """One row per value: all its intervals."""
-    rank = F.lit(RANK[kind]) if kind in RANK else F.size(F.split("value", r"\."))
+    rank = F.size(F.split("value", r"\.")) if kind == "domain" else F.lit(RANK[kind])
+    if kind == "prefix":
+        rank = rank + _depth(F.col("value"))
     rule = F.struct(rank.alias("rank"), (F.col("action") == "allow").alias("allow"), "list", "kind", "value", "since", "until")
     return valid.where(F.col("kind") == kind).groupBy(F.col("value").alias(key)).agg(F.collect_list(rule).alias(f"{key}_rules"))
 
@@ -68,17 +83,24 @@ def _rules(valid: DataFrame, kind: str, key: str) -> DataFrame:
 def judge(captures: DataFrame, entries: DataFrame, url: str = "url", day: str = "fetched_on") -> DataFrame:
     """`captures` with verdict (block, allow, none), kept, n_active and the deciding entry's list, kind, value, since."""
     valid = intervals(entries)
-    rows = captures.withColumns({"_host": host_of(F.col(url)), "_prefix": prefix_of(F.col(url)), "_address": address_of(F.col(url))})
+    rows = captures.withColumns({"_host": host_of(F.col(url)), "_path": path_of(F.col(url)), "_address": address_of(F.col(url))})
     hosts = rows.select("_host").where(F.col("_host").isNotNull()).distinct()
     labels = F.split("_host", r"\.")
     parents = hosts.withColumn("_domain", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))))
     by_host = parents.join(_rules(valid, "domain", "_domain"), "_domain").groupBy("_host").agg(F.flatten(F.collect_list("_domain_rules")).alias("_host_rules"))
-    rows = rows.join(by_host, "_host", "left").join(_rules(valid, "prefix", "_prefix"), "_prefix", "left").join(_rules(valid, "url", "_address"), "_address", "left")
+    # Only as many segments as entries have are looked up, so that a path of very many costs no more; one row of depths.
+    depths = valid.where("kind = 'prefix'").agg(F.collect_set(_depth(F.col("value"))).alias("_depths"))
+    parts = F.split("_path", "/")
+    asked = rows.select("_path").where(F.col("_path").isNotNull()).distinct().crossJoin(depths)
+    asked = asked.select("_path", F.explode(F.transform(
+        F.filter("_depths", lambda k: (k >= 1) & (F.try_element_at(parts, k + 1) != "")), lambda k: F.array_join(F.slice(parts, F.lit(1), k + 1), "/"))).alias("_prefix"))
+    by_path = asked.join(_rules(valid, "prefix", "_prefix"), "_prefix").groupBy("_path").agg(F.flatten(F.collect_list("_prefix_rules")).alias("_path_rules"))
+    rows = rows.join(by_host, "_host", "left").join(by_path, "_path", "left").join(_rules(valid, "url", "_address"), "_address", "left")
     none = F.slice(F.array(F.struct(
         F.lit(0).alias("rank"), F.lit(False).alias("allow"), F.lit("").alias("list"), F.lit("").alias("kind"), F.lit("").alias("value"),
         F.lit("1970-01-01").cast("date").alias("since"), F.lit("1970-01-01").cast("date").alias("until"))), 1, 0)
-    every = F.concat(*[F.coalesce(F.col(c), none) for c in ("_host_rules", "_prefix_rules", "_address_rules")])
+    every = F.concat(*[F.coalesce(F.col(c), none) for c in ("_host_rules", "_path_rules", "_address_rules")])
     active = F.filter(every, lambda x: (x["since"] <= F.col(day)) & (x["until"].isNull() | (F.col(day) < x["until"])))
     rows = rows.withColumn("_active", active).withColumn("_best", F.array_max("_active"))
     found = F.col("_best").isNotNull()

@@ -36,6 +36,16 @@ def test_the_most_specific_entry_decides_and_allow_beats_block(spark):
     assert verdicts(spark, captures, entries) == ["block", "allow", "block", "allow", "allow", "none", "none"]
 
 
+def test_prefixes_of_several_segments(spark):
+    add = lambda action, value: ("l", action, "prefix", value, "add", DAY)
+    entries = [add("block", "host.org/user"), add("allow", "host.org/user/repo"), add("block", "host.org/user/repo/bad/deep"), add("block", "other.org/a/b")]
+    urls = ["http://host.org/user", "http://host.org/user/x", "http://host.org/user/repo", "http://host.org/user/repo/?q=/bad/deep", "https://HOST.org:80/user/repo/bad/deep/x.html#top",
+            "http://host.org/user/repository", "http://other.org/a", "http://other.org/a/b/", "http://other.org/a/bc", "http://host.org/" + "y/" * 20_000]
+    assert verdicts(spark, [(u, days(1)) for u in urls], entries) == ["block", "block", "allow", "allow", "block", "block", "none", "block", "none", "none"]
+    got = judge(spark, [(urls[4], days(1))], entries).first()
+    assert (got["n_active"], got["kind"], got[-2]) == (3, "prefix", "host.org/user/repo/bad/deep")
+
+
 def test_ties_on_one_day_and_void_entries(spark):
     entries = [("l", "block", "domain", "a.com", "add", days(3)), ("l", "block", "domain", "a.com", "remove", days(3)),
                (None, "block", "domain", "b.com", "add", DAY), ("l", "block", "domain", "b.com", "add", None), ("l", "block", "domain", "c.com", "remove", DAY)]
