@@ -33,8 +33,6 @@ HELD_OUT = (5, 0)
 ALPHA = 0.01
 #: Share of toxic texts among those that hold a term, at least.
 LEAST_SHARE = 0.7
-#: Size bound of the lexicon; terms with most evidence first. It bounds what every task is sent.
-MAX_TERMS = 5_000
 STEMS = range(4, 9)
 #: Labelled texts that the logistic model is fitted on, about, drawn by the hash of the text.
 FIT_ROWS = 20_000
@@ -303,6 +301,38 @@ def vocabulary(counts: DataFrame) -> DataFrame:
     return rows.where("class IS NULL").unionByName(shared).groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
+def lexicon(good: DataFrame) -> DataFrame:
+    """word, pos, neg, stem: of the words and stems in `good`, with chance, those that say the same as no other.
+
+    Of stems that continue one another the one with the clearest excess stays, the longer one among equals; a stem that
+    owes half of its uses to one word is that word, and a word that a stem covers is left to it. All of these begin with
+    the same letters, so groups of the shortest stem's letters decide it, and every term that passed is looked at.
+    """
+    def resolve(rows: pa.Table) -> pa.Table:
+        found = rows.to_pylist()
+        most: dict[str, int] = {}
+        for r in found:
+            if not r["stem"]:
+                for k in STEMS:
+                    most[r["word"][:k]] = max(most.get(r["word"][:k], 0), r["pos"])
+        # beginnings: those of kept stems, themselves among them
+        stems_kept: set[str] = set()
+        beginnings: set[str] = set()
+        out = []
+        for r in sorted((r for r in found if r["stem"]), key=lambda r: (r["chance"], -len(r["word"]), r["word"])):
+            s = r["word"]
+            nested = s in beginnings or any(s[:k] in stems_kept for k in STEMS)
+            if not nested and most.get(s, 0) < 0.5 * r["pos"]:
+                stems_kept.add(s)
+                beginnings.update(s[:k] for k in STEMS)
+                out.append(r)
+        out += [r for r in found if not r["stem"] and not any(r["word"][:k] in stems_kept for k in STEMS)]
+        return pa.Table.from_pylist(out, rows.schema).select(["word", "pos", "neg", "stem"])
+
+    rows = good.select("word", "pos", "neg", "stem", "chance")
+    return rows.groupBy(F.substring("word", 1, STEMS.start)).applyInArrow(resolve, "word string, pos long, neg long, stem boolean")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model; what is counted for it is deleted again."""
     with scratch(docs.sparkSession):
@@ -326,23 +356,9 @@ def _fit(docs: DataFrame, labels: DataFrame) -> Model:
     gain = share * F.log(share / rate) + (1 - share) * F.log((1 - share) / (1 - rate))
     limit = float(np.log(ALPHA / max(1, n_words)))
     good = either.where((F.length("word") >= 3) & (share > LEAST_SHARE)).withColumn("chance", -(F.col("pos") + F.col("neg")) * gain).where(F.col("chance") < limit)
-    picked = good.orderBy("chance", "word", "stem").limit(MAX_TERMS).collect()
+    kept = lexicon(good).collect()
     evidence = lambda pos, neg: float(np.log((pos + 0.5) / (uses + 1)) - np.log((neg + 0.5) / (rest + 1)))
-    words = {r["word"]: evidence(r["pos"], r["neg"]) for r in picked if not r["stem"]}
-    # Of stems that continue one another the one with the clearest excess stays, the longer one among equals; a stem
-    # that owes half of its uses to one word is that word.
-    stems_kept: dict[str, float] = {}
-    most = {}
-    for r in picked:
-        if not r["stem"]:
-            for k in STEMS:
-                most[r["word"][:k]] = max(most.get(r["word"][:k], 0), r["pos"])
-    for r in sorted((r for r in picked if r["stem"]), key=lambda r: (r["chance"], -len(r["word"]), r["word"])):
-        s = r["word"]
-        nested = any(s.startswith(kept) or kept.startswith(s) for kept in stems_kept)
-        if not nested and most.get(s, 0) < 0.5 * r["pos"]:
-            stems_kept[s] = evidence(r["pos"], r["neg"])
-    words = {w: v for w, v in words.items() if not any(w[:k] in stems_kept for k in STEMS)}
+    words, stems_kept = ({r["word"]: evidence(r["pos"], r["neg"]) for r in kept if r["stem"] == s} for s in (False, True))
     model = Model(words, stems_kept, weights=[0.0] * (len(FEATURES) + 1))
     model.forms = _seen_forms(vocab, model, evidence)
     model.weights = _fit_weights(counts.where("text IS NOT NULL").select("text", "toxic"), model)
@@ -385,7 +401,7 @@ def _fit_weights(rows: DataFrame, model: Model) -> list[float]:
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` with score and predicted, which take the place of columns of these names.
 
-    The model that every task is sent is bounded by MAX_TERMS and what edits make of them.
+    Every task is sent the whole model: all terms that passed, and their misspelt forms in training texts.
     """
     names = [c for c in docs.columns if c not in ("score", "predicted")]
     path = text.split(".")

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -110,6 +111,22 @@ def test_classes_count_alike_on_both_sides(spark, docs_of):
     assert got["one"][0] <= 4 and got["one"][1] <= 4
 
 
+def test_every_term_that_passes_enters_the_lexicon(spark):
+    """More words pass than any fixed limit would keep, and each brings all its beginnings along."""
+    made = [f"{k:05d}".translate(str.maketrans("0123456789", "bcdfghjklm")) + "xyzaeiou" for k in range(6000)]
+    rows = {(w, 20 + k % 7, 0, False, -100.0 - k) for k, w in enumerate(made)}
+    uses = Counter()
+    for word, pos, *_ in rows:
+        uses.update({word[:length]: pos for length in tx.STEMS})
+    rows |= {(stem, pos, 0, True, -float(pos)) for stem, pos in uses.items()}
+    good = spark.createDataFrame(list(rows), "word string, pos long, neg long, stem boolean, chance double")
+    got = tx.lexicon(good).collect()
+    stems = {r["word"] for r in got if r["stem"]}
+    words = {r["word"] for r in got if not r["stem"]}
+    assert all(w in words or any(w[:k] in stems for k in tx.STEMS) for w in made)
+    assert not any(w[:k] in stems for w in words for k in tx.STEMS)
+
+
 def test_keep_clean_keeps_columns_and_clean_rows(spark, docs_of):
     rows, labels = corpus(400)
     table = docs_of(rows)
