@@ -232,3 +232,13 @@ def test_sums_over_products_follow_a_shift_in_time(model):
     this = evaluate(shifted, year(2020), [], ["Bridge Volume Effect"]).first()[0]
     later = evaluate(shifted, year(2021), [], ["Volume PY", "Bridge Volume Effect"]).first()
     assert later["Volume PY"] == this and later["Volume PY"] != later["Bridge Volume Effect"]
+
+
+def test_a_grid_over_a_large_further_axis_is_whole(spark, model):
+    """No measure covers both axes, and the second has more values than are sent with the plan."""
+    steps = spark.range(6000).select(F.format_string("step%d", "id").alias("Step"), F.col("id").cast("int").alias("Order"))
+    large = replace(model, tables={**model.tables, "bridge_steps": steps})
+    want = {r["Brand"]: r["NII"] for r in evaluate(model, Context(), ["dim_brand.Brand"], ["NII"]).collect()}
+    rows = evaluate(large, Context(), ["dim_brand.Brand", "bridge_steps.Step"], ["NII"]).collect()
+    assert len(rows) == len({(r["Brand"], r["Step"]) for r in rows}) == 6000 * len(want)
+    assert all(r["NII"] == want[r["Brand"]] for r in rows)
