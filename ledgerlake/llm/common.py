@@ -84,6 +84,18 @@ def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def cogrouped(left: DataFrame, right: DataFrame, keys: list[str], by, schema: str) -> DataFrame:
+    """`by` over the Arrow tables of both sides with one key.
+
+    A cogroup hashes each side's keys as they are and does not cast them as a join does: an int and a long of one
+    value go to different partitions and never meet. Keys of different types are refused.
+    """
+    kinds = [[frame.schema[k].dataType for k in keys] for frame in (left, right)]
+    if kinds[0] != kinds[1]:
+        raise TypeError(f"cogroup keys {keys} differ in type: {kinds[0]} and {kinds[1]}")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(by, schema)
+
+
 def id_remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -80,11 +80,16 @@ def with_copies(docs: DataFrame, text: str = "text", source: str = "source", key
     return out.withColumn("_copies", F.floor("_rate") + extra)
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: each row of `docs` as often as its copies say, with the columns of `docs`."""
-    planned = with_copies(docs, **options).where(F.col("_copies") > 0)
-    repeated = planned.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options) -> DataFrame:
+    """The mixed corpus: each row of `docs` as often as its copies say, with the columns of `docs`.
+
+    The row travels as one struct, so that no column of `docs` meets a helper column of the same name.
+    """
+    at = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(a) for c, a in at.items()]).alias("row"))
+    planned = with_copies(packed, f"row.{at[text]}", f"row.{at[source]}", f"row.{at[key]}", **options).where(F.col("_copies") > 0)
+    repeated = planned.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+    return repeated.select(*[F.col(f"row.{a}").alias(c) for c, a in at.items()])
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:

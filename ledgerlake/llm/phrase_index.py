@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import clean_text, new_path, saved, scratch, table
+from .common import clean_text, cogrouped, new_path, saved, scratch, table
 
 WINDOW = 10
 #: A segment is closed once its texts have so many bytes.
@@ -142,7 +142,7 @@ def occurrences(index: DataFrame, asked: DataFrame, width: int | None = None) ->
     postings, visits, blocks = _lookups(index, asked)
     texts = index.where("term IS NULL").select("segment", F.col("term"), "postings", "starts", "n_words")
     lists = postings.select("segment", "term", "postings", F.lit(None).cast("array<long>").alias("starts"), F.lit(None).cast("array<long>").alias("n_words"))
-    left = texts.unionByName(lists).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    left = texts.unionByName(lists).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def meet(held: pa.Table, found: pa.Table) -> pa.Table:
         out = {"segment": [], "place": [], "begin": [], "end": [], "items": []}
@@ -187,8 +187,7 @@ def occurrences(index: DataFrame, asked: DataFrame, width: int | None = None) ->
             return pa.table({"segment": [], "place": [], "begin": [], "end": [], "items": []}, schema=pa.schema([*[(c, pa.int64()) for c in ("segment", "place", "begin", "end")], ("items", pa.list_(pa.string()))]))
         return meet(held, found)
 
-    return left.groupBy("segment", "block").cogroup(visits.groupBy("segment", "block")).applyInArrow(
-        grouped, "segment long, place long, begin long, end long, items array<string>")
+    return cogrouped(left, visits, ["segment", "block"], grouped, "segment long, place long, begin long, end long, items array<string>")
 
 
 def near(lists: list[np.ndarray], width: int) -> list[tuple[int, int]]:

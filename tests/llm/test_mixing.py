@@ -52,3 +52,11 @@ def test_awkward_and_empty_tables(docs_of, awkward):
     assert len(got) == len(awkward)
     assert {r["_size"] for r in got if r["doc_id"] in (1, 2, 3)} == {0}
     assert mixing.mix(docs_of([])).count() == 0
+
+
+def test_columns_named_like_helpers_pass_through(spark, docs_of):
+    docs = docs_of([(k, "w " * (k + 1)) for k in range(6)])
+    want = mixing.mix(docs).count()
+    for name in ("_size", "_source_size", "_target", "_rate", "_copies", "_copy", "_source", "row", "rank", "weight", "cap", "a.b"):
+        got = mixing.mix(docs.withColumn(name, F.lit(777)))
+        assert got.count() == want and {r[name] for r in got.select(f"`{name}`").collect()} == {777}, name

@@ -3,8 +3,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import phrase_index as pi
+from ledgerlake.llm.common import cogrouped
 
 SPLIT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -37,7 +39,19 @@ def small(monkeypatch):
     monkeypatch.setattr(pi, "PHRASES_AT_ONCE", 7)
 
 
-def test_hits_equal_brute_force(spark, docs_of, small):
+@pytest.fixture(params=[None, 7, 31])
+def partitions(spark, request):
+    """Shuffles as they come, and kept at so many partitions: small ones are else merged into one."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    if request.param:
+        spark.conf.set("spark.sql.shuffle.partitions", request.param)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_hits_equal_brute_force(spark, docs_of, small, partitions):
     rng = random.Random(5)
     say = lambda n: " ".join(rng.choice(["the", "of", "a", "b", "cat", "Dog", "Éa", "x1"]) for _ in range(n))
     items = [(k, say(rng.choice([1, 3, 9, 10, 11, 25]))) for k in range(12)] + [(3, say(14)), (None, "cat dog the of"), (50, None), (51, "..."), (9, items_text := say(12)), (10, items_text)]
@@ -67,3 +81,15 @@ def test_awkward_and_empty_tables(spark, docs_of, awkward):
     assert pi.exact_hits(docs_of([]), none).count() == 0
     item = spark.createDataFrame([(1, "word word")], "item_id long, text string")
     assert sorted(map(str, (tuple(r) for r in pi.exact_hits(docs_of(awkward), item).collect()))) == sorted(map(str, brute(awkward, [(1, "word word")])))
+
+
+def test_cogroup_refuses_keys_of_two_types(spark):
+    left, right = spark.range(3).select(F.col("id").cast("int").alias("k")), spark.range(3).select(F.col("id").alias("k"))
+    with pytest.raises(TypeError, match="differ in type"):
+        cogrouped(left, right, ["k"], lambda a, b: a, "k long")
+
+
+def test_stage_drops_the_same_documents_at_any_partitioning(spark, docs_of, partitions):
+    docs = [(k, f"x{k} " * 5 + ("a b c d e f g h i j" if k % 3 == 0 else "a b c d e") + " y" * k) for k in range(60)]
+    got = pi.keep_clean(docs_of(docs), spark.createDataFrame([(1, "A b c d e f g h i j")], "item_id long, text string"))
+    assert {r["doc_id"] for r in got.collect()} == {k for k in range(60) if k % 3}
