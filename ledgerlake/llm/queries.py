@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 from __future__ import annotations
 
-from . import context_tree, language, mixing, near_dup, neighbours, phrase_index, runs, substring_dedup, token_records, toxicity, url_lists, whitening
+from . import context_tree, language, mixing, near_dup, neighbours, phrase_index, runs, sharding, substring_dedup, token_records, toxicity, url_lists, whitening
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_url_lists": url_lists.op8_url_lists,
     "op9_mixing": mixing.op9_mixing,
     "op10_neighbours": neighbours.op10_neighbours,
+    "op11_sharding": sharding.op11_sharding,
     "op12_periodic_runs": runs.op12_periodic_runs,
     "op13_whitening": whitening.op13_whitening,
 }
