@@ -16,6 +16,7 @@ from ..sources.schemas import source_schema
 from . import dimensions as dims, facts, marts, quality
 from .measures import build_registry, flag_next_year, latest_runs
 from .model import Model
+from .refresh import Refresh
 
 
 @dataclass
@@ -101,11 +102,13 @@ class Warehouse:
             ("customer_future", quality.future_dates(clean, "onboarding_date_src", la)),
         ]:
             self.log_dq(counts, layer="silver", table="customers", **quality.check(check))
-        customers = put("dim_customer", dims.customer_dimension(clean, regions, branches, la, gold("dim_customer")))
+        # Large dimensions are merged: buckets of rows that stay as they are keep their files, and marts see which changed.
+        customers = tables.upsert_table(self.spark, dims.customer_dimension(clean, regions, branches, la, gold("dim_customer")),
+                                        self.path("gold", "dim_customer"), ["CustomerID"])
         accounts = tables.create_table_as(dims.clean_accounts(stg("accounts")), self.path("silver", "accounts"))
         self.log_dq(quality.duplicates(stg("accounts"), ["account_id"]), layer="silver", table="accounts",
                     **quality.check("account_duplicates"))
-        put("dim_account", dims.account_dimension(accounts, customers, products, branches, gold("dim_account")))
+        tables.merge(dims.account_dimension(accounts, customers, products, branches, gold("dim_account")), self.path("gold", "dim_account"), ["AccountID"])
 
     def load_rate(self) -> None:
         staged = landing.first_available(
@@ -191,19 +194,16 @@ class Warehouse:
                                self.path("gold", "dim_date"))
 
     def build_marts(self) -> DataFrame:
-        """All marts; returns their row counts."""
+        """All marts brought up to date (`refresh`: months that changed; the others as a whole); returns their row counts."""
         g, la = (lambda t: self.read("gold", t)), self.last_actual
-        dep, loan, cust, prod = (g("fact_deposit_balance"), g("fact_loan_performance"), g("dim_customer"), g("dim_product"))
+        loan, prod = g("fact_loan_performance"), g("dim_product")
+        followed = Refresh(self.spark, self.root, la, self.first_month).run(prod)
         built = {
-            "fact_product_monthly": marts.product_pnl(dep, loan, cust),
-            "fact_credit_risk_monthly": marts.credit_risk(loan, cust),
             "fact_mortgage_maturity": marts.mortgage_maturity(loan, prod, la),
-            "fact_mortgage_repricing": marts.mortgage_repricing(loan, prod),
             "fact_bbl_vintage": marts.loan_vintage(g("dim_account"), loan, prod, la),
-            "fact_customer_monthly": marts.customer_monthly(cust, g("fact_digital"), self.first_month, la),
-            "fact_transactions_monthly": marts.transactions_monthly(g("fact_transactions")),
         }
         written = {t: tables.create_table_as(df, self.path("mart", t)) for t, df in built.items()}
+        written |= {t: self.read("mart", t) for t in followed}
         stats = control.table_stats(self.spark, self._layers())
         written[STATS_TABLE] = tables.create_table_as(stats, self.path("mart", STATS_TABLE))
         return control.row_counts(written)
@@ -213,8 +213,8 @@ class Warehouse:
         for layer in ("stg", "silver", "gold", "mart", "ops"):
             for table in tables.children(self.spark, f"{self.root}/{layer}"):
                 path = self.path(layer, table)
-                current = tables.current_folder(self.spark, path)
-                if current is not None:
+                current = tables.current_folders(self.spark, path)
+                if current:
                     out.setdefault(layer, {})[table] = current
         return out
 

@@ -89,19 +89,24 @@ def mortgage_maturity(loans: DataFrame, products: DataFrame, last_actual, mortga
         _total("ScheduledPayment").alias("MonthlyPayment"))
 
 
-def repricing_events(loans: DataFrame, products: DataFrame, mortgage: str = "P04") -> DataFrame:
-    """Each repriced open mortgage with its rate and payment of the month before."""
-    mine = loans.join(products.filter(F.col("ProductID") == mortgage).select("ProductKey"), "ProductKey")
+def repricing_events(loans: DataFrame, products: DataFrame, mortgage: str = "P04", months=None) -> DataFrame:
+    """Each repriced open mortgage with its rate and payment of the month before.
+
+    Only mortgages are shuffled, on both sides. `months` limits the events, not the months they are compared with.
+    """
+    mine = loans.join(products.filter(F.col("ProductID") == mortgage).select("ProductKey"), "ProductKey", "left_semi")
     events = mine.filter((F.col("IsProductTransfer") | F.col("IsDealMaturity")) & (F.col("AccountStatus") == "Open"))
+    if months is not None:
+        events = events.filter(F.col("DateKey").isin(sorted(months)))
     events = events.select("DateKey", "AccountKey", "RegionKey", "RateType", "CustomerRate", "ScheduledPayment",
                            "BalanceEOM", date_key(month_end(key_date("DateKey"), -1)).alias("PrevKey"))
-    before = loans.filter(F.col("ScheduledPayment") > 0)
+    before = mine.filter(F.col("ScheduledPayment") > 0).select("DateKey", "AccountKey", "CustomerRate", "ScheduledPayment")
     return previous_period(events, before, "AccountKey", "DateKey", "PrevKey", ["CustomerRate", "ScheduledPayment"])
 
 
-def mortgage_repricing(loans: DataFrame, products: DataFrame, mortgage: str = "P04") -> DataFrame:
+def mortgage_repricing(loans: DataFrame, products: DataFrame, mortgage: str = "P04", months=None) -> DataFrame:
     """Old against new rate and payment, month x region x new rate type."""
-    e = repricing_events(loans, products, mortgage)
+    e = repricing_events(loans, products, mortgage, months)
     return e.groupBy("DateKey", "RegionKey", F.col("RateType").alias("NewRateType")).agg(
         F.count(F.lit(1)).alias("Repricings"), _total("BalanceEOM").alias("Balance"),
         _total(F.col("OldCustomerRate") * F.col("BalanceEOM"), TOTAL4).alias("OldRateXBalance"),

@@ -113,22 +113,22 @@ def row_counts(tables: dict[str, DataFrame], name: str = "mart_table") -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
-def table_stats(spark: SparkSession, layers: dict[str, dict[str, str]]) -> DataFrame:
-    """Rows, size and format per table and layer. `layers` maps layer -> table -> folder.
+def table_stats(spark: SparkSession, layers: dict[str, dict[str, list[str]]]) -> DataFrame:
+    """Rows, size and format per table and layer. `layers` maps layer -> table -> folders of its current files.
 
     Sizes come from one file listing (binaryFile without its content column reads no data), row
     counts from Parquet footers. Layer and table are the folders above the files.
     """
-    folders = [path for tables in layers.values() for path in tables.values()]
+    folders = [path for tables in layers.values() for paths in tables.values() for path in paths]
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet").load(folders).select("path", "length"))
-    above = r"/([^/]+)/([^/]+)(?:/v=[0-9]+)?(?:/DateKey=[^/]+)?/[^/]+$"
+    above = r"/([^/]+)/([^/]+)(?:/data)?(?:/[^/=]+=[^/]*)+/[^/]+$"  # versions, write folders and partitions of any column
     sizes = files.groupBy(F.regexp_extract("path", above, 1).alias("layer"),
                           F.regexp_extract("path", above, 2).alias("table_name")).agg(F.sum("length").alias("bytes"))
     counts = reduce(DataFrame.unionByName, [
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+        spark.read.parquet(*paths).agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "row_count")
-        for layer, tables in layers.items() for table, path in tables.items()])
+        for layer, tables in layers.items() for table, paths in tables.items()])
     mb = F.round(F.coalesce(F.col("bytes"), F.lit(0)) / 1048576, 2).cast("decimal(12,2)")
     return counts.join(sizes, ["layer", "table_name"], "left").select(
         "layer", "table_name", "row_count", mb.alias("used_mb"), F.lit("Parquet").alias("storage_type"),

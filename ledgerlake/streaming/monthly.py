@@ -14,7 +14,8 @@ from pyspark.sql.types import StructType
 
 from ..operators.dedupe import keep_latest
 from ..sources.schemas import source_schema
-from ..sources.tables import full_reload, read_table, replace_parts, replace_periods, upsert_table
+from ..sources import versions
+from ..sources.tables import bucket_of, merge, read_table, replace_parts, replace_periods, upsert_table
 
 
 def landing_stream(spark: SparkSession, folder: str, schema: StructType | str, recursive: bool = True,
@@ -48,21 +49,32 @@ def load_arrived_events(stream: DataFrame, prepare: Callable[[DataFrame], DataFr
 
     `prepare` adds the column `part` (a period, or a bucket of an entity), by which both tables are stored;
     `summarise` keeps it. An event that comes again replaces itself, in its old part too if that has changed,
-    so a file read twice changes nothing and a late file adds to its period.
+    so a file read twice changes nothing and a late file adds to its period. Events without an id are refused.
+
+    Where an event lies is known from an index (`<events>_ids`: event id, part) that is stored by hash bucket of
+    the id: a batch reads the buckets of its own ids and the touched parts, not the history. Events, summary and
+    index change one after the other, each as a whole; a batch that stops between them is replayed by the stream and
+    makes all three good, as the index is written last: until then it names the parts from before the batch.
     """
     def batch(rows: DataFrame, _: int) -> None:
-        spark = rows.sparkSession
-        new = full_reload(keep_latest(prepare(rows), [event_id], "_source_file"), f"{events}_arrived")
-        old = read_table(spark, events)
-        after, parts = new, new.select(part)
-        if old is not None:
-            parts = parts.unionByName(old.join(new.select(event_id), event_id, "left_semi").select(part))
-        touched = [r[0] for r in parts.distinct().collect()]  # days or buckets, never events
-        if old is not None:
-            kept = old.where(F.col(part).isin(touched)).join(new.select(event_id), event_id, "left_anti")
-            after = kept.unionByName(new)
-        replace_parts(full_reload(after, f"{events}_next"), events, part, touched)
-        replace_parts(summarise(read_table(spark, events).where(F.col(part).isin(touched))), summary, part, touched)
+        spark, index = rows.sparkSession, f"{events}_ids"
+        once = keep_latest(prepare(rows).where(F.col(event_id).isNotNull()), [event_id], "_source_file")
+        arrived = versions.write_folder(once, events, part)  # computed once
+        new = versions.read(spark, events, versions.Snapshot(0, part, once.schema.json(), arrived))
+        ids, touched = new.select(event_id), set(arrived)
+        known = versions.snapshot(spark, index)
+        if known is not None:
+            bucket = bucket_of([event_id], known.settings["buckets"])
+            buckets = [r[0] for r in ids.select(bucket).distinct().collect()]  # a number fixed by the index
+            before = read_table(spark, index, known, buckets).join(ids, event_id, "left_semi")
+            touched |= {str(r[0]) for r in before.select(part).distinct().collect()}  # days or buckets, never events
+        base = versions.snapshot(spark, events)
+        if base is not None:
+            new = read_table(spark, events, base, touched).join(ids, event_id, "left_anti").unionByName(new)
+        now = versions.commit(new, events, part, touched, base)
+        replace_parts(summarise(read_table(spark, events, now, touched)), summary, part, touched)
+        merge(versions.read(spark, events, versions.Snapshot(0, part, once.schema.json(), arrived)).select(event_id, part), index, [event_id])
+        versions.drop_folders(spark, events, arrived)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start()

@@ -119,7 +119,7 @@ def test_run_log_keeps_long_messages(spark):
 def test_stats_and_counts(spark, tmp_path):
     tables.full_reload(periods(spark, [(1, 1), (2, 2)]), str(tmp_path / "gold" / "t"))
     tables.replace_periods(spark.range(100000).select(F.lit(20200131).alias("DateKey"), "id"), str(tmp_path / "gold" / "u"))
-    found = {t: tables.current_folder(spark, str(tmp_path / "gold" / t)) for t in ("t", "u")}
+    found = {t: tables.current_folders(spark, str(tmp_path / "gold" / t)) for t in ("t", "u")}
     stats = {r["table_name"]: r for r in control.table_stats(spark, {"gold": found}).collect()}
     assert stats["t"]["row_count"] == 2 and stats["t"]["storage_type"] == "Parquet"
     assert stats["u"]["row_count"] == 100000 and stats["u"]["used_mb"] > 0 and stats["u"]["layer"] == "gold"

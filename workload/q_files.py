@@ -11,8 +11,7 @@ from ledgerlake.plans.measures import Shift
 from ledgerlake.plans.model import Context, evaluate
 from ledgerlake.sources import control, landing, tables
 from .q_marts import YEAR
-from .q_more import _work_folder
-from .registry import query, r, res
+from .registry import query, r, res, work_folder
 from .sql import sql  # noqa: F401
 
 _FRAUD = "conduct/fraud_cases"
@@ -20,7 +19,7 @@ _FRAUD = "conduct/fraud_cases"
 
 def _landed(x) -> str:
     """Fraud cases as monthly files below year=/month= folders; returns the landing root."""
-    root = _work_folder(x.spark)
+    root = work_folder(x.spark)
     d = F.col("reported_date")
     cases = x.fraud_stage.withColumns({"year": F.date_format(d, "yyyy"), "month": F.date_format(d, "MM")})
     cases.repartition("year", "month").write.partitionBy("year", "month").parquet(f"{root}/{_FRAUD}")
@@ -65,7 +64,7 @@ SELECT 'file' AS wanted, 'BoE API' AS source_system, count(*) AS n, {r(f'sum({_R
 UNION ALL SELECT 'absent', 'Fallback', count(*), {r(f'sum({_RATE})', 'total')} FROM orders WHERE o_orderpriority <> '1-URGENT'""")
 def rate_file_or_fallback(x):
     """The rate series from its CSV, and from the fallback where the CSV is absent."""
-    root, mine = _work_folder(x.spark), F.col("source_system") == landing.PREFERRED_RATE_SOURCE
+    root, mine = work_folder(x.spark), F.col("source_system") == landing.PREFERRED_RATE_SOURCE
     named = x.rate_stage.withColumnsRenamed({"rate_date": "DATE", "bank_rate": "IUDBEDR"})
     named.where(mine).select("DATE", "IUDBEDR").write.option("header", "true").csv(f"{root}/rate.csv")
     x.rate_stage.where(~mine).write.parquet(f"{root}/fallback")
@@ -100,7 +99,7 @@ def rate_guard(x):
 SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice::DECIMAL(12,2))::DOUBLE, 6) AS total FROM orders GROUP BY 1""")
 def stage_by_name(x):
     """Staged twice, with the columns in another order the second time: the table holds the second delivery once."""
-    path = f"{_work_folder(x.spark)}/orders"
+    path = f"{work_folder(x.spark)}/orders"
     columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
     tables.stage(x.t("orders").where("o_orderkey % 2 = 0"), path, columns)
     tables.stage(x.t("orders").select("o_totalprice", "o_orderstatus", "o_orderkey"), path, columns)
@@ -112,7 +111,7 @@ def stage_by_name(x):
 SELECT o_orderpriority AS priority, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1""")
 def full_reload_from_itself(x):
     """A table replaced by a query over itself, then read; `create_table_as` and `full_reload` are one operator."""
-    path = f"{_work_folder(x.spark)}/orders"
+    path = f"{work_folder(x.spark)}/orders"
     first = tables.create_table_as(x.t("orders").select("o_orderpriority", "o_orderstatus"), path)
     tables.full_reload(first.where("o_orderstatus <> 'F'"), path)
     return tables.read_table(x.spark, path).groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count(F.lit(1)).alias("n"))
@@ -122,7 +121,7 @@ def full_reload_from_itself(x):
 SELECT 'orders' AS source_table, 'Succeeded' AS status, count(*) AS rows_read FROM orders UNION ALL SELECT 'lineitem', 'Succeeded', count(*) FROM lineitem
 UNION ALL SELECT 'absent', 'Failed', NULL""")
 def run_log_rows(x):
-    path = f"{_work_folder(x.spark)}/run_log"
+    path = f"{work_folder(x.spark)}/run_log"
     for name in ("orders", "lineitem"):
         n = x.t(name).count()
         tables.append_rows(control.run_log_row(x.spark, run_id="r", job="load", source_table=name, rows_read=n, rows_written=n, status="Succeeded"), path)
@@ -135,7 +134,7 @@ SELECT o_orderstatus AS source, o_orderpriority AS "table", count(*) AS files, s
 FROM (SELECT o_orderstatus, o_orderpriority, strftime(o_orderdate, '%Y-%m') AS m, count(*) AS n, sum(o_custkey)::BIGINT AS b FROM orders GROUP BY ALL) t GROUP BY 1, 2""")
 def manifest_by_table(x):
     """A JSON list of files, one per status, priority and month of the orders, summed by source and table."""
-    path = f"{_work_folder(x.spark)}/manifest"
+    path = f"{work_folder(x.spark)}/manifest"
     files = x.t("orders").groupBy(F.col("o_orderstatus").alias("source"), F.col("o_orderpriority").alias("table"), F.date_format("o_orderdate", "yyyy-MM").alias("file")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("o_custkey").cast("bigint").alias("bytes"))
     # a manifest is one document by nature: a row per file of the landing zone
@@ -147,12 +146,12 @@ def manifest_by_table(x):
 SELECT 'gold' AS layer, 'orders' AS table_name, count(*) AS row_count, 'Parquet' AS storage_type, true AS has_size FROM orders
 UNION ALL SELECT 'mart', 'events', count(*), 'Parquet', true FROM events""")
 def table_statistics(x):
-    root = _work_folder(x.spark)
+    root = work_folder(x.spark)
     layers = {"gold": {"orders": f"{root}/gold/orders"}, "mart": {"events": f"{root}/mart/events"}}
     for held in layers.values():
         for name, path in held.items():
             tables.full_reload(x.t(name), path)
-    now = {layer: {name: tables.current_folder(x.spark, path) for name, path in held.items()} for layer, held in layers.items()}
+    now = {layer: {name: tables.current_folders(x.spark, path) for name, path in held.items()} for layer, held in layers.items()}
     stats = control.table_stats(x.spark, now)
     return stats.select("layer", "table_name", "row_count", "storage_type", (F.col("used_mb") > 0).alias("has_size"))
 

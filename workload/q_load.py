@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.dates import date_key, key_date
 from ledgerlake.operators.dedupe import keep_latest, keep_one
 from ledgerlake.operators.groups import most_frequent
-from ledgerlake.operators.keys import assign_keys, number_rows, upsert
+from ledgerlake.operators.keys import assign_keys, number_rows
 from ledgerlake.operators.lookup import split_hot_lookup
 from ledgerlake.plans import dimensions as dims, facts, finance, quality
-from ledgerlake.sources import control
-from ledgerlake.sources.tables import periods_replaced, range_replaced
+from ledgerlake.sources import control, tables
 from .adapters import LAST_ACTUAL
-from .registry import query, r, res, rs
+from .registry import query, r, res, rs, work_folder
 from .sql import KEY, LAST
 
 # ---------------------------------------------------------------- calendar and rate
@@ -191,12 +190,14 @@ def learned_mode_map(x):
 SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
   CASE WHEN c_acctbal < 5000 THEN c_mktsegment ELSE 'OLD' END AS sub_segment FROM customer""")
 def scd1_upsert(x):
-    """Target: the older extract of customers without debt; source: the current one of lower balances."""
+    """Target: the older extract of customers without debt; source: the current one of lower balances, merged into its buckets."""
     bal = x.t("customer").select(F.col("c_custkey").cast("string").alias("customer_id"), "c_acctbal")
     rows = x.customers.select("customer_id", "sub_segment").join(bal, "customer_id")
     target = rows.filter("sub_segment = 'OLD' and c_acctbal >= 0").drop("c_acctbal")
     source = rows.filter("sub_segment <> 'OLD' and c_acctbal < 5000").drop("c_acctbal")
-    return upsert(target, source, ["customer_id"])
+    path = f"{work_folder(x.spark)}/customers"
+    tables.merge(target, path, ["customer_id"])
+    return tables.upsert_table(x.spark, source, path, ["customer_id"])
 
 
 @query("surrogate_keys", f"""
@@ -401,7 +402,10 @@ def period_replace(x):
                                 F.col("o_totalprice").cast("decimal(12,2)").alias("v"))
     target = rows.filter("o_orderstatus = 'O'")
     new = rows.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= F.lit(date(2000, 1, 1))))
-    return res(periods_replaced(target, new).groupBy("DateKey").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total")))
+    path = f"{work_folder(x.spark)}/orders"
+    tables.replace_periods(target, path)
+    tables.replace_periods(new, path)
+    return res(tables.read_table(x.spark, path).groupBy("DateKey").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total")))
 
 
 @query("range_replace", f"""
@@ -415,8 +419,10 @@ def range_replace(x):
     rows = x.t("orders").select(date_key("o_orderdate").alias("DateKey"), "o_orderstatus",
                                 F.col("o_totalprice").cast("decimal(12,2)").alias("v"))
     new = rows.filter((F.col("o_orderstatus") == "F") & F.col("DateKey").between(19970210, 19980305))
-    out = range_replaced(rows.filter("o_orderstatus = 'O'"), new, 19970210, 19980305)
-    return res(out.groupBy("DateKey").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total")))
+    path = f"{work_folder(x.spark)}/orders"
+    tables.replace_periods(rows.filter("o_orderstatus = 'O'"), path)
+    tables.replace_range(new, path, 19970210, 19980305)
+    return res(tables.read_table(x.spark, path).groupBy("DateKey").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total")))
 
 
 def _plan_tables(x):

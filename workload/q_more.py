@@ -23,7 +23,7 @@ from ledgerlake.sources import control
 from ledgerlake.sources.tables import read_table
 from ledgerlake.streaming import monthly
 from .adapters import LAST_ACTUAL, PRODUCT_IDS, RULE_START
-from .registry import query, r, res, rs
+from .registry import query, r, res, rs, work_folder
 from .sql import KEY, LAST
 
 # ---------------------------------------------------------------- validation report
@@ -516,13 +516,6 @@ def late_month_buckets(x):
 # ---------------------------------------------------------------- streams
 
 
-def _work_folder(spark) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, else in the session's warehouse."""
-    import uuid
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared}/stream-{uuid.uuid4().hex}"
-
-
 def _arriving_events(x, root: str, load) -> None:
     """Events land in three files that share days and users, the first of them twice; a run follows each landing."""
     events = x.t("events")
@@ -535,7 +528,7 @@ def _arriving_events(x, root: str, load) -> None:
 SELECT {KEY.format('ts')} AS "DateKey", event_type, count(*) AS n, round(sum(value::DECIMAL(18,2))::DOUBLE, 6) AS total FROM events GROUP BY 1, 2""")
 def stream_incremental(x):
     """Files with events of the same days arrive one after the other; every day's total adds up."""
-    root = _work_folder(x.spark)
+    root = work_folder(x.spark)
 
     def by_day(rows):
         return rows.withColumn("DateKey", date_key(F.to_date("ts")))
@@ -551,7 +544,7 @@ def stream_incremental(x):
 @query("stream_late_upsert", "SELECT user_id, event_type, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY 1, 2")
 def stream_late_upsert(x):
     """Counts by user and type over files that share users; nothing is dropped for being late."""
-    root = _work_folder(x.spark)
+    root = work_folder(x.spark)
 
     def by_user(rows):
         return rows.withColumn("Bucket", F.pmod(F.xxhash64("user_id"), F.lit(16)).cast("int"))

@@ -1,6 +1,8 @@
 """Registration of queries: a Spark function over the extracts and, where there is one, its SQL."""
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,8 +15,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None):
-    """Register fn(extracts) under a name; `oracle` is a SQL body over the tables and the CTEs."""
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share, below spark.checkpoint.dir.
+
+    A temporary folder stands in only where that setting is absent and the master is local, as in tests.
+    """
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="workload-")
+    return f"{shared.rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
+def query(name: str, oracle: str | None = None, like: str | None = None):
+    """Register fn(extracts) under a name; `oracle` is a SQL body over the tables and the CTEs, `like` a query with the same rows."""
     def wrap(fn: Callable[[Extracts], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             for key, value in SETTINGS.items():
@@ -25,6 +40,8 @@ def query(name: str, oracle: str | None = None):
         QUERIES[name] = run
         if oracle is not None:
             SQL[name] = sql(oracle)
+        if like is not None:
+            SQL[name] = SQL[like]
         return fn
     return wrap
 
