@@ -29,6 +29,8 @@ from .common import saved, scratch, table
 SHARDS = 8
 #: Rows of one link group that meet the group's counts in one salted part.
 PART_ROWS = 1000
+#: Groups with more than one in so many links are not shuffled by group.
+HOT_GROUPS = 1024
 #: Hash buckets of a quota's cells and of a fill: what is granted is exact to about one of so many parts.
 BUCKETS = 1024
 #: Classes of gain (powers of two) that quotas tell apart.
@@ -41,12 +43,14 @@ LEAST_MOVE = 16
 ENOUGH = 0.005
 
 
-def linked(rows: DataFrame, links: DataFrame) -> DataFrame:
+def linked(links: DataFrame) -> DataFrame:
     """at, h, group, part, parts: links of groups of two rows or more, with a salt by group size."""
     sizes = links.groupBy("group").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    parts = F.ceil(F.col("rows") / PART_ROWS).cast("long")
-    # Whether `sizes` is broadcast or the links are shuffled is Spark's choice by size; a hot group is split by AQE.
-    kept = links.join(sizes.select("group", parts.alias("parts")), "group")
+    sizes = saved(sizes.select("group", "rows", F.ceil(F.col("rows") / PART_ROWS).cast("long").alias("parts")), "sizes")
+    # Fewer than HOT_GROUPS groups can hold more than one part in HOT_GROUPS of all links: these meet their links where they lie.
+    hot = F.col("rows") * HOT_GROUPS > links.count()
+    few = F.broadcast(sizes.where(hot).select("group", "parts"))
+    kept = links.join(few, "group").unionByName(links.join(few.select("group"), "group", "left_anti").join(sizes.where(~hot).select("group", "parts"), "group"))
     return saved(kept.select("at", "group", F.pmod(F.xxhash64("at"), F.col("parts")).alias("part"), "parts"), "links")
 
 
@@ -194,7 +198,7 @@ def shard(rows: DataFrame, links: DataFrame, shards: int = SHARDS) -> DataFrame:
     total, longest = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
     capacity = -(-int(total) // shards)
     with scratch(rows.sparkSession):
-        links = linked(rows, links)
+        links = linked(links)
         # Linked rows leave room for a few of the longest rows, so that these overfill no shard.
         labels, groups = propagate(rows, links, max(capacity - 2 * int(longest), capacity * 9 // 10), shards)
         labels = saved(labels.join(released(links, labels, groups, capacity, shards), "at", "left_anti"), "labels")
