@@ -184,11 +184,16 @@ def policy_rate_daily(staged: DataFrame, start=date(2020, 1, 1), check: bool = T
     """
     spark = staged.sparkSession
     rates = valid_rates(staged)
-    if check and rates.isEmpty():
-        raise NoValidRate("no valid rate rows in staging")
-    last = rates.agg(F.max("Date").alias("d")).scalar()
-    first_rate = rates.agg(F.min_by("BankRate", "Date").alias("r")).scalar()
-    tag = rates.agg(F.max("SourceSystem").alias("s")).scalar()
+    # one aggregate answers all that is asked about the series
+    known = rates.agg(F.struct(F.max("Date").alias("last"), F.min_by("BankRate", "Date").alias("first_rate"), F.max("SourceSystem").alias("tag")).alias("known"))
+    if check:
+        row = known.first()["known"]
+        if row["last"] is None:
+            raise NoValidRate("no valid rate rows in staging")
+        last, first_rate, tag = (F.lit(row[c]) for c in ("last", "first_rate", "tag"))
+    else:
+        one = known.scalar()
+        last, first_rate, tag = (one[c] for c in ("last", "first_rate", "tag"))
     joined = day_spine(spark, start, last).join(rates.select("Date", "BankRate"), "Date", "left")
     filled = forward_fill(joined, "Date", "BankRate", leading="none")
     return filled.select(date_key("Date").alias("DateKey"),

@@ -5,6 +5,7 @@ failed step runs.
 """
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
@@ -49,6 +50,15 @@ class Warehouse:
     def log_dq(self, counts: DataFrame, **values) -> None:
         tables.append_rows(control.dq_rows(counts, **values), self.path("ops", "dq_results"))
 
+    def log_checks(self, source: str, counted: DataFrame, checks: dict[str, str], table: str) -> None:
+        """Log what the checks found and move the watermark, from one table of counts by month."""
+        rows = self.spark.createDataFrame(counted.collect(), counted.schema)  # one row for each month of the delivery
+        found = quality.check_rows(rows, checks, "month_end")
+        tables.append_rows(found.select(
+            F.current_timestamp().alias("checked_at_utc"), F.lit("gold").alias("layer"), F.lit(table).alias("table_name"), "period_month_end",
+            "check_name", "severity", "affected_rows", "total_rows", "action_taken"), self.path("ops", "dq_results"))
+        self.advance(source, rows.agg(F.max("month_end").alias("month_end")))
+
     def watermark(self) -> DataFrame:
         found = self.read_or_none("ops", "watermark")
         return control.initial_watermark(self.spark) if found is None else found
@@ -128,21 +138,18 @@ class Warehouse:
             keys = facts.account_keys(gold("dim_account"), customers)
             loader = facts.deposit_balances if target == "deposit_balance" else facts.loan_performance
             tables.replace_periods(loader(staged, keys), path)
-            name = "FactDepositBalanceMonthly" if target == "deposit_balance" else "FactLoanPerformanceMonthly"
-            log = dict(layer="gold", table=name, period="month_end")
-            self.log_dq(quality.duplicates(staged, ["account_id"], "month_end"), **quality.check("monthly_duplicates"), **log)
             if target == "deposit_balance":
-                self.log_dq(quality.negative_savings(staged, facts.SAVINGS_PRODUCTS), **quality.check("negative_savings"), **log)
+                wrong = (F.col("avg_balance") < 0) & F.col("product_id").isin(*facts.SAVINGS_PRODUCTS)
+                name, special = "FactDepositBalanceMonthly", {"negative_savings": wrong}
             else:
-                self.log_dq(quality.missing(staged, "ifrs9_stage", "month_end"), **quality.check("missing_stage"), **log)
-            self.log_dq(quality.orphans(staged, keys, "account_id", "month_end", distinct=True), **quality.check("account_orphans"), **log)
-            self.advance(table, staged.agg(month))
+                name, special = "FactLoanPerformanceMonthly", {"missing_stage": F.col("ifrs9_stage").isNull()}
+            counted = quality.fact_checks(staged, keys, "account_id", "month_end", special)
+            checks = {"monthly_duplicates": "duplicates", **{c: c for c in special}, "account_orphans": "orphan_keys"}
+            self.log_checks(table, counted, checks, name)
         elif target == "digital":
             tables.replace_periods(facts.digital_activity(staged, customers), path)
             known = customers.select(F.col("CustomerID").alias("customer_id"))
-            self.log_dq(quality.orphans(staged, known, "customer_id", "month_end"), layer="gold", table="FactDigitalMonthly",
-                        period="month_end", **quality.check("customer_orphans"))
-            self.advance(table, staged.agg(month))
+            self.log_checks(table, quality.fact_checks(staged, known, "customer_id", "month_end"), {"customer_orphans": "orphan_rows"}, "FactDigitalMonthly")
         elif target == "transactions":
             low, high = staged.agg(*[F.date_format(f("txn_date"), "yyyyMMdd").cast("int") for f in (F.min, F.max)]).first()
             rows = facts.daily_transactions(staged, gold("dim_region"), gold("dim_product"), gold("dim_channel"))
@@ -218,17 +225,28 @@ class Warehouse:
                     out.setdefault(layer, {})[table] = current
         return out
 
-    def load_all(self, mode: str = "FULL") -> DataFrame:
-        for group in (1, 2):
-            self.stage_group(group, "FULL")
-        self.load_dimensions()
-        self.load_rate()
-        for table, target in self.stage_group(3, mode):
-            self.load_fact(table, target)
-        self.stage_group(4, "FULL")
-        self.load_finance()
-        self.cover_facts()
-        return self.build_marts()
+    def load_all(self, mode: str = "FULL", attempt: str | None = None) -> DataFrame:
+        """The whole load; returns the marts' row counts.
+
+        A load that failed goes on with the step that failed when its `attempt` (named in the error's note) is given.
+        """
+        attempt = attempt or f"{self.run_id}-{uuid.uuid4().hex[:12]}"
+        steps = control.Steps(self.spark, self.path("ops", "steps"), attempt)
+        try:
+            for group in (1, 2):
+                steps.run(f"stage {group}", lambda: self.stage_group(group, "FULL"))
+            steps.run("dimensions", self.load_dimensions)
+            steps.run("rate", self.load_rate)
+            for table, target in steps.run("stage 3", lambda: self.stage_group(3, mode)):
+                steps.run(f"fact {target}", lambda: self.load_fact(table, target))
+            steps.run("stage 4", lambda: self.stage_group(4, "FULL"))
+            steps.run("finance", self.load_finance)
+            steps.run("calendar", self.cover_facts)
+            counts = steps.run("marts", lambda: [list(r) for r in self.build_marts().collect()])  # one row per mart
+        except Exception as e:
+            e.add_note(f"load_all({mode!r}, attempt={attempt!r}) goes on from here")
+            raise
+        return self.spark.createDataFrame([tuple(c) for c in counts], "mart_table string, row_count long")
 
     # -- reporting -----------------------------------------------------------------------------
     def model(self) -> Model:

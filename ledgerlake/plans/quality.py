@@ -92,6 +92,31 @@ def orphans(staged: DataFrame, keys: DataFrame, key: str, period: str | None = N
     return marked.groupBy(period).agg(*aggs) if period else marked.agg(*aggs)
 
 
+def fact_checks(staged: DataFrame, keys: DataFrame, key: str, period: str, counters: dict[str, Column] | None = None) -> DataFrame:
+    """All checks of a staged fact at once, one row per period.
+
+    total, duplicates (rows beyond the first of a key), orphan_keys and orphan_rows (without a dimension row), and the
+    rows that meet each counter's condition: one scan, one aggregation by key and period, one lookup of the keys found
+    in it, one roll-up. A key with very many rows is counted per task before the shuffle. A null key is an orphan.
+    """
+    counters = counters or {}
+    per_key = staged.groupBy(key, period).agg(F.count(_one()).alias("n"), *[F.count_if(c).alias(name) for name, c in counters.items()])
+    known = keys.select(key).withColumn("__known", F.lit(True))
+    unknown = F.col("__known").isNull()
+    return per_key.join(known, key, "left").groupBy(period).agg(
+        F.sum("n").alias("total"), F.sum(F.col("n") - 1).alias("duplicates"), F.count_if(unknown).alias("orphan_keys"),
+        F.sum(F.when(unknown, F.col("n")).otherwise(0)).alias("orphan_rows"), *[F.sum(name).alias(name) for name in counters])
+
+
+def check_rows(counted: DataFrame, checks: dict[str, str], period: str) -> DataFrame:
+    """Rows (period, check, severity, action, affected, total) of the checks (name -> counter) that found something."""
+    each = F.explode(F.array(*[
+        F.struct(F.lit(CHECKS[name][0]).alias("check_name"), F.lit(CHECKS[name][1]).alias("severity"), F.lit(ACTIONS[name]).alias("action_taken"),
+                 F.col(column).cast("bigint").alias("affected_rows")) for name, column in checks.items()]))
+    return counted.select(F.col(period).cast("date").alias("period_month_end"), F.col("total").cast("bigint").alias("total_rows"), each.alias("c")).select(
+        "period_month_end", "c.*", "total_rows").where("affected_rows > 0")
+
+
 def lower_case_codes(df: DataFrame, column: str) -> DataFrame:
     return _counted(df, is_lower_case(column))
 

@@ -1,6 +1,8 @@
 """Load control: configuration, load plan, watermark, run log, data-quality log, table statistics."""
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
@@ -101,6 +103,34 @@ def dq_rows(counts: DataFrame, *, layer: str, table: str, check: str, severity:
     )
 
 
+class Steps:
+    """Steps of one run with a ledger: a run that starts again under its id goes on where it stopped.
+
+    A step is written to the ledger, with what it returned (JSON), once it has finished; one that is there is not run
+    again. A step that died half way runs again as a whole, so steps must replace or merge what they write, as the
+    writers of `tables` do.
+    """
+
+    SCHEMA = "run_id string, step string, output string, finished_at_utc timestamp"
+
+    def __init__(self, spark: SparkSession, path: str, run_id: str):
+        from . import tables
+        self.spark, self.path, self.run_id, self._append = spark, path, run_id, tables.append_rows
+        ledger = tables.read_table(spark, path)
+        # a run has a few dozen steps
+        rows = [] if ledger is None else ledger.where(F.col("run_id") == run_id).select("step", "output").collect()
+        self.finished = {r["step"]: json.loads(r["output"]) for r in rows}
+
+    def run(self, step: str, work: Callable[[], object]):
+        """What `work` returned, now or when it finished in an earlier attempt."""
+        if step not in self.finished:
+            output = json.dumps(work())
+            row = self.spark.createDataFrame([(self.run_id, step, output, None)], self.SCHEMA)
+            self._append(row.withColumn("finished_at_utc", F.current_timestamp()), self.path)
+            self.finished[step] = json.loads(output)
+        return self.finished[step]
+
+
 def dq_summary(results: DataFrame) -> DataFrame:
     return results.groupBy("layer", "table_name", "check_name", "severity", "action_taken").agg(
         F.sum("affected_rows").alias("affected_rows"), F.max("checked_at_utc").alias("last_checked_utc"))

@@ -174,3 +174,28 @@ def test_full_and_monthly_loads_end_with_the_newest_delivery(spark):
     staged = spark.createDataFrame(rows, "complaint_id string, _source_file string, resolved_date date")
     whole = facts.newest_delivery(staged, "complaint_id").collect()
     assert [r["resolved_date"] for r in whole] == [date(2020, 2, 3)]
+
+
+def test_a_load_that_dies_goes_on_with_the_step_that_failed(spark, tmp_path, loaded):
+    w = Warehouse(spark, write_landing(spark, str(tmp_path / "landing")), str(tmp_path / "wh"), LAST_ACTUAL)
+    done, load_fact = [], w.load_fact
+
+    def dies(table, target):
+        if target == "transactions" and "transactions" not in done:
+            done.append(target)
+            raise RuntimeError("lost")
+        done.append(target)
+        load_fact(table, target)
+
+    w.load_fact = dies
+    with pytest.raises(RuntimeError) as failed:
+        w.load_all("FULL", attempt="night")
+    assert "attempt='night'" in failed.value.__notes__[0]
+    before = list(done)
+    counts = {r["mart_table"]: r["row_count"] for r in w.load_all("FULL", attempt="night").collect()}
+    assert done[len(before):] == ["transactions", "branch_activity", "complaints", "fraud"]  # finished steps do not run again
+    undisturbed, whole = loaded
+    skip = "platform_table_stats"
+    assert {k: v for k, v in counts.items() if k != skip} == {k: v for k, v in whole.items() if k != skip}
+    for t in ("fact_deposit_balance", "fact_transactions", "fact_complaints", "dim_customer"):
+        assert sorted(map(str, (tuple(r) for r in w.read("gold", t).collect()))) == sorted(map(str, (tuple(r) for r in undisturbed.read("gold", t).collect()))), t

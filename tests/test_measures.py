@@ -242,3 +242,18 @@ def test_a_grid_over_a_large_further_axis_is_whole(spark, model):
     rows = evaluate(large, Context(), ["dim_brand.Brand", "bridge_steps.Step"], ["NII"]).collect()
     assert len(rows) == len({(r["Brand"], r["Step"]) for r in rows}) == 6000 * len(want)
     assert all(r["NII"] == want[r["Brand"]] for r in rows)
+
+
+def test_sums_over_values_scan_no_more_than_their_totals():
+    """A sum over products and the plain totals of the same mart come from one scan."""
+    from pyspark.sql import SparkSession
+    from workload.adapters import Extracts
+    spark = SparkSession.getActiveSession()
+
+    def scans(names):
+        df = evaluate(Extracts(spark, "/root/testdata/sf0.001").model, Context(), ["dim_date.Year"], names)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("l_extendedprice") and sum("l_orderkey" in line and "Relation [" in line for line in plan.splitlines())
+
+    alone = scans(["NII", "Balance Months"])
+    assert alone > 0 and scans(["NII", "Balance Months", "Balance Months PY", "Bridge Volume Effect", "Bridge Margin Effect", "Bridge Other"]) == alone
