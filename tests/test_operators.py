@@ -138,9 +138,18 @@ def test_rows_without_a_key_are_refused(spark):
 
 
 def test_a_repeated_business_key_is_an_error(spark):
-    rows = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
-    with pytest.raises(keys.RepeatedKey, match="a \\(2\\)"):
-        keys.upsert_dimension(None, rows, "k", "key")
+    rows = spark.createDataFrame([("a", 1), ("b", 3), ("a", 2)], "k string, v int")
+    once = keys.upsert_dimension(None, rows.limit(2), "k", "key")
+    for existing in (None, once):
+        with pytest.raises(Exception, match="k repeats: a"):
+            keys.upsert_dimension(existing, rows, "k", "key").collect()
+
+
+def test_only_unknown_keys_are_numbered(spark):
+    known = keys.upsert_dimension(None, spark.createDataFrame([(f"a{k}", k) for k in range(50)], "k string, v int"), "k", "key")
+    later = keys.upsert_dimension(known, spark.createDataFrame([(f"a{k}", -k) for k in range(20)] + [("x", 1), ("y", 2), ("z", 3), (None, 4)], "k string, v int"), "k", "key")
+    before, after = ({r["k"]: r["key"] for r in d.collect()} for d in (known, later))
+    assert {k: after[k] for k in before} == before and {after[k] for k in "xyz"} == {51, 52, 53} and len(after) == 53
 
 
 @pytest.mark.parametrize("wrong", [0, 5])
