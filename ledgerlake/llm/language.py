@@ -108,8 +108,10 @@ def training_rows(docs: DataFrame, lang: Column) -> DataFrame:
     n, out = HELD_OUT
     rows = docs.where((id_remainder(F.col("doc_id"), n) != out) & F.col("text").isNotNull() & lang.isNotNull()).select("text", lang.alias("lang"))
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    share = rows.groupBy("lang").agg((F.lit(float(PER_LANGUAGE)) / F.count(F.lit(1))).alias("share"))
-    sample = rows.join(share, "lang").where(drawn < F.col("share")).select("text", "lang")
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one number per language
+    # The shares are part of the filter: texts are drawn where they are read, and only the sample goes any further.
+    share = F.create_map(*[F.lit(v) for lang, n_ in counts.items() for v in (lang, PER_LANGUAGE / n_)])[F.col("lang")] if counts else F.lit(0.0)
+    sample = rows.where(drawn < share)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
