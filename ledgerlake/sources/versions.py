@@ -56,14 +56,14 @@ def _hadoop(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names(spark: SparkSession, path: str) -> list[str]:
     _, p, fs = _hadoop(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Published versions, oldest first."""
-    return sorted(int(n[2:-5]) for n in _names(spark, f"{path}/{MANIFESTS}") if n.startswith("v=") and n.endswith(".json"))
+    return sorted(int(n[2:-5]) for n in names(spark, f"{path}/{MANIFESTS}") if n.startswith("v=") and n.endswith(".json"))
 
 
 def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot | None:
@@ -131,7 +131,7 @@ def write_folder(df: DataFrame, path: str, key: str) -> dict[str, tuple[str, ...
     """
     spark, name = df.sparkSession, f"w={uuid.uuid4().hex}"
     df.hint("rebalance", F.col(key)).write.partitionBy(key).parquet(f"{path}/{DATA}/{name}")
-    made = [n for n in _names(spark, f"{path}/{DATA}/{name}") if n.startswith(f"{key}=")]
+    made = [n for n in names(spark, f"{path}/{DATA}/{name}") if n.startswith(f"{key}=")]
     if not made:  # no rows: nothing would name the folder
         jvm, folder, fs = _hadoop(spark, f"{path}/{DATA}/{name}")
         fs.delete(folder, True)
