@@ -65,6 +65,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that `saved` wrote and nothing reads any more."""
+    spark, path = df.sparkSession, df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.saved_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
     """A path in the shared folder that nothing else uses; kept ones belong to the scratch around, if there is one."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -81,7 +87,9 @@ def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     spark, path = df.sparkSession, new_path(df.sparkSession, name, keep)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.saved_path = path
+    return out
 
 
 def cogrouped(left: DataFrame, right: DataFrame, keys: list[str], by, schema: str) -> DataFrame:
