@@ -59,10 +59,28 @@ PLATFORM_CARDS = ["Rows in Warehouse", "Data As Of", "Pipeline Success Rate", "L
                   "DQ Issues Fixed", "Tables Monitored"]
 
 
-def cards(model: Model, ctx: Context, names: Sequence[str], kpis: Sequence[str] = ()) -> DataFrame:
-    """One row of headline values, with label and state of the given KPIs."""
+#: The KPI that stands below each card of a page, in the order of the cards.
+PROFIT_KPIS = ["NII YoY", "NIM", "Fee Income YoY", "Cost Income", "Deposits YoY", "Net Loans YoY"]
+CREDIT_KPIS = ["New Lending YoY", "Loan Book YoY", "Arrears 90", "Stage 2", "ECL Coverage", "Cost of Risk"]
+CUSTOMER_KPIS = ["Active Customers YoY", "Digital Share", "App Users YoY", "Branches", "Complaints", "APP Reimbursement"]
+
+
+def cards(model: Model, ctx: Context, names: Sequence[str], kpis: Sequence[str] = (), axis: Sequence[str] = ()) -> DataFrame:
+    """One row of headline values, with label and state of the given KPIs; with an axis, one row for each of its values."""
     labels = [f"{k} {part}" for k in kpis for part in ("Label", "Colour")]
-    return report(model, ctx, [], [*names, *labels])
+    return report(model, ctx, axis, [*names, *labels])
+
+
+def profit_cards(model: Model, ctx: Context = Context(), axis: Sequence[str] = ()) -> DataFrame:
+    return cards(model, ctx, PROFIT_CARDS, PROFIT_KPIS, axis)
+
+
+def credit_cards(model: Model, ctx: Context = Context(), axis: Sequence[str] = ()) -> DataFrame:
+    return cards(model, ctx, CREDIT_CARDS, CREDIT_KPIS, axis)
+
+
+def customer_cards(model: Model, ctx: Context = Context(), axis: Sequence[str] = ()) -> DataFrame:
+    return cards(model, ctx, CUSTOMER_CARDS, CUSTOMER_KPIS, axis)
 
 
 def home(model: Model, year: int) -> DataFrame:
@@ -144,6 +162,12 @@ def complaints_by_category(model: Model, ctx: Context = Context()) -> DataFrame:
                   order=[F.desc("Complaints"), F.asc("CategoryName")])
 
 
+def scam_losses(model: Model, ctx: Context = Context()) -> DataFrame:
+    """Scam losses, what was paid back of them and the rate, by year."""
+    return report(model, without_date_slicers(ctx), [YEAR], ["APP Scam Losses", "APP Scam Reimbursed", "APP Reimbursement Rate"],
+                  having=not_blank("APP Scam Losses"), order=[F.asc("Year")])
+
+
 def branch_points(branches: DataFrame) -> DataFrame:
     """Map points: spread position and state with the first name, city and closure date there."""
     lat, lon = spread_point("Latitude", "Longitude", "BranchKey")

@@ -265,6 +265,14 @@ def channel_group(x):
                channel_group="ChannelGroup")
 
 
+@query("category_dim", f"""
+SELECT row_number() OVER (ORDER BY {_MD5.format('code')}) AS category_key, code, name, CASE WHEN code IN ('P01','P02','P03') THEN 'Deposits' ELSE 'Lending' END AS grp
+FROM (SELECT DISTINCT CASE p_type WHEN 'STANDARD' THEN 'P01' WHEN 'SMALL' THEN 'P02' WHEN 'MEDIUM' THEN 'P03' WHEN 'ECONOMY' THEN 'P04'
+  WHEN 'LARGE' THEN 'P05' WHEN 'PROMO' THEN 'P09' END AS code, p_type AS name FROM part) p""")
+def category_dim(x):
+    return res(dims.category_dimension(x.categories), category_key="CategoryKey", code="CategoryCode", name="CategoryName", grp="FCAProductGroup")
+
+
 @query("product_dim", f"""
 SELECT row_number() OVER (ORDER BY {_MD5.format('id')}) AS product_key, id, name, CASE WHEN id IN ('P01','P02','P03') THEN 'Deposits' ELSE 'Lending' END AS grp,
   CASE WHEN id = 'P09' THEN 'SME' ELSE 'Personal' END AS segment, CAST(right(id, 2) AS INTEGER) AS sort_order

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.plans import marts, reports, scope
 from ledgerlake.plans.dimensions import SCORE_BANDS
-from ledgerlake.plans.measures import KPIS
 from ledgerlake.plans.model import Context, Filter, evaluate, one_of
 from .adapters import LAST_ACTUAL
 from .registry import query, r, res, rs
@@ -606,13 +605,6 @@ def kpi_status(x):
     return by_year(x, **cols)
 
 
-@query("all_kpi_labels")
-def all_kpi_labels(x):
-    """Every KPI card of the report for one year (texts; the values behind them are checked elsewhere)."""
-    names = [f"{k[0]} {part}" for k in KPIS for part in ("Label", "Colour")]
-    return evaluate(x.model, Context((one_of("dim_date", "Year", 2000),)), [], names)
-
-
 @query("region_scorecard", f"""
 SELECT CASE product_id WHEN 'P01' THEN 'STANDARD' WHEN 'P02' THEN 'SMALL' WHEN 'P03' THEN 'MEDIUM' WHEN 'P04' THEN 'ECONOMY'
   WHEN 'P05' THEN 'LARGE' ELSE 'PROMO' END AS product, {r("sum(eom_balance) FILTER (product_id NOT IN ('P01','P02','P03') AND month_end = DATE '2001-07-31')", 'loan_book')},

@@ -15,7 +15,7 @@ from ledgerlake.functions.dates import (date_key, days_between, minutes_crossed,
 from ledgerlake.operators.dedupe import duplicate_row_count
 from ledgerlake.operators.groups import top_categories
 from ledgerlake.operators.series import (average_balance, interpolate_linear, spread_month_to_days)
-from ledgerlake.plans import finance, quality, reports, stories
+from ledgerlake.plans import finance, marts, quality, reports, stories
 from ledgerlake.plans.measures import build_registry, latest_runs
 from ledgerlake.plans.model import Context, Model, evaluate
 from ledgerlake.plans.status import run_status, severity_status
@@ -204,6 +204,39 @@ def pd_lgd_ead_ecl(x):
                     F.round("lgd", 6).alias("lgd"), F.round("ead", 6).alias("ead"), F.round("loss", 8).alias("ecl"))
 
 
+_DRIFT = "(ltv - 0.3)"
+_STAGE_ALL = ("CASE WHEN arrears_bucket = '90+' THEN 3 WHEN arrears_bucket <> 'Current' OR (pd * 1.25::DOUBLE >= 4.0::DOUBLE * p AND pd >= 0.004) "
+              f"OR (weak AND coalesce({_DRIFT} > 0.4::DOUBLE, false)) OR is_payment_holiday THEN 2 ELSE 1 END")
+
+
+@query("stage_with_overlays", f"""
+SELECT arrears_bucket AS bucket, CAST(st AS INTEGER) AS stage, count(*) AS n, count(*) FILTER (is_payment_holiday) AS holidays,
+  count(*) FILTER (weak AND {_DRIFT} > 0.4::DOUBLE) AS weak_and_drifted, {r('sum(bal)', 'balance')} FROM (SELECT *, {_STAGE_ALL} AS st FROM (SELECT *, {_PD} AS pd FROM (
+  SELECT arrears_bucket, balance_eom AS bal, pd_12m::DOUBLE / 10 AS p, current_ltv::DOUBLE AS ltv, is_payment_holiday, c.score_band IN ('Very Poor', 'Poor') AS weak
+  FROM loan_stage JOIN cust c ON c.c_custkey = o_custkey) a) b) d GROUP BY ALL""")
+def stage_with_overlays(x):
+    """The stage with both further signs: a weak score whose risk drifted away, and a payment holiday."""
+    owner = x.account_numbers.join(x.dim_customer.select("CustomerKey", "CreditScoreBand"), "CustomerKey").select(
+        F.col("AccountID").alias("account_id"), F.col("CreditScoreBand").isin("Very Poor", "Poor").alias("weak"))
+    d = x.loan_rows.join(owner, "account_id").withColumns({"p": F.col("pd_12m") / 10, "drift": F.coalesce(F.col("current_ltv") - 0.3, F.lit(0.0))})
+    d = d.withColumn("pd", risk.pd_12m("p", "arrears_bucket"))
+    d = d.withColumn("stage", risk.stage("arrears_bucket", "pd", "p", F.lit(1.25), "weak", "drift", "is_payment_holiday"))
+    return res(d.groupBy(F.col("arrears_bucket").alias("bucket"), "stage").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("is_payment_holiday").alias("holidays"),
+        F.count_if(F.col("weak") & (F.col("drift") > risk.WEAK_DRIFT)).alias("weak_and_drifted"), F.sum(F.col("balance_eom").cast("decimal(18,2)")).alias("balance")))
+
+
+@query("payment_shock", f"""
+SELECT e.date_key, e.account_id, {r('e.scheduled_payment::DOUBLE / p.scheduled_payment::DOUBLE', 'shock')}, e.scheduled_payment::DOUBLE / p.scheduled_payment::DOUBLE > 1.10::DOUBLE AS over_limit
+FROM loan e JOIN loan p ON p.account_id = e.account_id AND p.month_end = last_day(e.month_end - INTERVAL 1 MONTH)
+WHERE e.product_id = 'P04' AND (e.is_product_transfer OR e.is_deal_maturity) AND e.account_status = 'Open' AND p.scheduled_payment > 0""")
+def payment_shock(x):
+    """Each repriced mortgage's new payment against that of the month before."""
+    shock, over = risk.payment_shock("ScheduledPayment", "OldScheduledPayment")
+    d = marts.repricing_events(x.loans, x.dim_product).join(x.account_numbers.select("AccountKey", F.col("AccountID").alias("account_id")), "AccountKey")
+    return res(d.select(F.col("DateKey").alias("date_key"), "account_id", shock.alias("shock"), over.alias("over_limit")))
+
+
 def _index(x):
     """A price index: mean order value per month relative to a constant."""
     return x.t("orders").groupBy(F.last_day(F.col("o_orderdate").cast("date")).alias("month_end")).agg(
@@ -368,10 +401,10 @@ def platform_kpis(x):
 
 
 @query("top_tables", f"""
-SELECT table_name, CASE WHEN table_name IN ('orders','lineitem','events') THEN 'gold' ELSE 'stg' END AS layer, n::BIGINT AS row_count
-FROM ({_COUNTS}) c ORDER BY n DESC, table_name LIMIT 10""")
+SELECT table_name, CASE WHEN table_name IN ('orders','lineitem','events') THEN 'gold' ELSE 'stg' END AS layer, n::BIGINT AS row_count,
+  {r('round(n::DECIMAL(18,2) / 1000, 2)', 'used_mb')} FROM ({_COUNTS}) c ORDER BY n DESC, table_name LIMIT 10""")
 def top_tables(x):
-    return res(reports.rows_by_table(_platform(x)), table_name="table_name", layer="layer", row_count="Rows All Layers")
+    return res(reports.rows_by_table(_platform(x)), table_name="table_name", layer="layer", row_count="Rows All Layers", used_mb="Warehouse Size MB")
 
 
 @query("run_list", f"""
@@ -399,6 +432,13 @@ def run_status_measure(x):
     return res(d, status="status", runs_n="Pipeline Runs", state="Run Status Colour")
 
 
+@query("dq_severity_measure", f"""
+SELECT severity, count(*) AS checks_n, sum(a)::BIGINT AS issues, CASE severity WHEN 'Error' THEN 'bad' ELSE 'warn' END AS state FROM {_DQ} d WHERE a > 0 GROUP BY 1""")
+def dq_severity_measure(x):
+    d = evaluate(_platform(x), Context(), ["data_quality_summary.severity"], ["DQ Checks Triggered", "DQ Issues Fixed", "DQ Severity Colour"])
+    return res(d.withColumn("issues", F.col("DQ Issues Fixed").cast("bigint")), severity="severity", checks_n="DQ Checks Triggered", issues="issues", state="DQ Severity Colour")
+
+
 # ---------------------------------------------------------------- basic operators on the order tables
 
 
@@ -475,12 +515,14 @@ def sort_limit(x):
 
 @query("slicer_values", """
 SELECT 'region' AS slicer, region_name AS choice FROM regions_named UNION ALL SELECT DISTINCT 'segment', segment FROM cust
-UNION ALL SELECT DISTINCT 'brand', brand FROM cust""")
+UNION ALL SELECT DISTINCT 'brand', brand FROM cust
+UNION ALL SELECT 'year', CAST(y AS VARCHAR) FROM (SELECT unnest(generate_series(year(min(d)), year(max(d)))) AS y FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem) t) s
+UNION ALL SELECT 'month', strftime(make_date(2000, CAST(range AS INTEGER), 1), '%b') FROM range(1, 13)""")
 def slicer_values(x):
     m = replace(x.model, tables={t: x.model.tables[t] for t in ("dim_date", "dim_region", "dim_segment", "dim_brand")})
     values = reports.slicer_values(m)
-    return reduce(DataFrame.unionByName, [values[n].select(F.lit(n).alias("slicer"), F.col(values[n].columns[0]).alias("choice"))
-                                          for n in ("region", "segment", "brand")])
+    return reduce(DataFrame.unionByName, [values[n].select(F.lit(n).alias("slicer"), F.col(values[n].columns[0]).cast("string").alias("choice"))
+                                          for n in ("region", "segment", "brand", "year", "month")])
 
 
 @query("scalar_misc", f"""
