@@ -21,6 +21,10 @@ from .sql import CTES, LAST, cte
 class Chain(Extracts):
     """The extracts with dimensions as the loaders leave them."""
 
+    @cached_property
+    def account_keys(self) -> DataFrame:
+        return self._put("account_keys", super().account_keys)
+
     @cached_property
     def root(self) -> str:
         return work_folder(self.spark)
@@ -88,6 +92,31 @@ class Chain(Extracts):
     def account_numbers(self) -> DataFrame:
         return self.dim_account
 
+    # -- facts, stored as a load leaves them: each is made once, and what reads it has a short plan
+    @cached_property
+    def deposits(self) -> DataFrame:
+        return self._put("fact_deposit_balance", super().deposits)
+
+    @cached_property
+    def loans(self) -> DataFrame:
+        return self._put("fact_loan_performance", super().loans)
+
+    @cached_property
+    def digital(self) -> DataFrame:
+        return self._put("fact_digital", super().digital)
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self._put("fact_transactions", super().transactions)
+
+    @cached_property
+    def complaints(self) -> DataFrame:
+        return self._put("fact_complaints", super().complaints)
+
+    @cached_property
+    def budget(self) -> DataFrame:
+        return self._put("fact_budget_monthly", super().budget)
+
     # -- text ids of issued keys -----------------------------------------------------------------
     def named(self, df: DataFrame, *keys: str) -> DataFrame:
         """`df` with the text ids that its keys stand for."""
