@@ -32,11 +32,14 @@ class Chain(Extracts):
     def _put(self, name: str, df: DataFrame) -> DataFrame:
         return tables.full_reload(df, f"{self.root}/{name}")
 
-    def _merged(self, name: str, key: str, load, deliveries: list[DataFrame]) -> DataFrame:
-        """Each delivery through its loader, which sees the table as the one before it left it."""
-        path = f"{self.root}/{name}"
+    def _delivered(self, name: str, load, deliveries: list[DataFrame]) -> DataFrame:
+        """Each delivery through its loader, which sees the table as the one before it left it.
+
+        Nearly all rows change here, so the table is written as a whole; `q_refresh` merges by bucket.
+        """
+        found = None
         for rows in deliveries:
-            found = tables.upsert_table(self.spark, load(rows, tables.read_table(self.spark, path)), path, [key])
+            found = self._put(name, load(rows, found))
         return found
 
     @cached_property
@@ -74,7 +77,7 @@ class Chain(Extracts):
     def dim_customer(self) -> DataFrame:
         """First the customers whose region is known, then all of them."""
         clean = self._put("customers", dims.clean_customers(self.customers))
-        return self._merged("dim_customer", "CustomerID", lambda rows, known: dims.customer_dimension(
+        return self._delivered("dim_customer", lambda rows, known: dims.customer_dimension(
             rows, self.dim_region, self.dim_branch, LAST_ACTUAL, known), [clean.where("region_code_src IS NOT NULL"), clean])
 
     @property
@@ -85,7 +88,7 @@ class Chain(Extracts):
     def dim_account(self) -> DataFrame:
         """First the deposits, then all accounts."""
         clean = self._put("accounts", dims.clean_accounts(self.accounts))
-        return self._merged("dim_account", "AccountID", lambda rows, known: dims.account_dimension(
+        return self._delivered("dim_account", lambda rows, known: dims.account_dimension(
             rows, self.dim_customer, self.dim_product, self.dim_branch, known), [clean.where("product_id < 'P04'"), clean])
 
     @property
