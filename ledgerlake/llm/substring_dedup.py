@@ -4,14 +4,16 @@
    windows have equal seeds at equal places, so only windows whose seed occurs twice can repeat. Neighbouring windows
    share seeds; a seed with the windows it stands for is a context.
 2. Seeds are counted by hash (each block of texts sends its different ones once). Contexts of repeated seeds are
-   counted by hash too: equal contexts repeat as a whole, and one of them goes on for all; contexts that no other
-   shares a seed with are done.
+   counted by 128 bits: equal contexts repeat as a whole, and one of them goes on for all; contexts that no other
+   shares a seed with are done. Blocks say first how many different contexts they hold of each seed; a seed with
+   more than `HOT` (a line that a large share of texts hold) is hot, and its contexts are dealt by their own hash
+   instead of the seed's, so that no task ever holds more than `HOT` contexts of one seed.
 3. What is left differs from all others of its seed somewhere. The contexts of a seed, each with the seed itself as
    one symbol, are put into one string, and their suffix array is built by linear grouping (suffix_groups): suffixes
    that agree in WINDOW - SEED + 1 symbols, seed included, are equal windows, and stand next to each other. Seeds with
-   many contexts are cut into strings of `TILE` contexts, whose different windows are compared once more. A seed with
-   more than `HOT` different contexts (a line that a large share of texts hold) is not gathered at all: its windows
-   are counted by hash, as seeds were.
+   many contexts are cut into strings of `TILE` contexts, and one window of each class of a string is compared with
+   those of the seed's other strings. Contexts of hot seeds are not gathered: their windows are counted by 128 bits,
+   as contexts were.
 4. Each block adds up its repeated windows and cuts.
 
 Texts are kept in files, one per block of bounded size; only hashes, contexts and marks are shuffled, packed by bucket
@@ -52,7 +54,7 @@ PLACE_BITS = 28
 U = np.uint64
 TEXTS = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
 BLOCK_ROWS = "block long, path string, bucket int, keys binary, more binary, twice binary"
-MARKS = "block long, kind int, bucket int, marks binary"
+MARKS = "block long, kind int, bucket long, marks binary"
 
 
 def _scramble(x: np.ndarray) -> np.ndarray:
@@ -126,6 +128,18 @@ def _hash(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
 
 
+def _classes(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the rows by `keys`, the rows in it that begin a class of equal ones, and the class of each row."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), bool)
+    for n, key in enumerate(keys):
+        differs = key[order][1:] != key[order][:-1]
+        new[1:] = differs if not n else new[1:] | differs
+    klass = np.empty(len(order), "i8")
+    klass[order] = np.cumsum(new) - 1
+    return order, new, klass
+
+
 class Files:
     """Files of a job in the shared folder, under names of their own attempt."""
 
@@ -205,19 +219,19 @@ def _blobs(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
 
 def _marks(part: pa.Table, kind: int, bucket: int, marks: list[np.ndarray]) -> pa.Table:
     n = part.num_rows
-    return pa.table({"block": part["block"], "kind": pa.array([kind] * n, pa.int32()), "bucket": pa.array([bucket] * n, pa.int32()), "marks": pa.array([m.astype("u1").tobytes() for m in marks], pa.binary())})
+    return pa.table({"block": part["block"], "kind": pa.array([kind] * n, pa.int32()), "bucket": pa.array([bucket] * n, pa.int64()), "marks": pa.array([m.astype("u1").tobytes() for m in marks], pa.binary())})
 
 
-def repeated(rows: DataFrame, kind: int) -> DataFrame:
-    """Per block and bucket, which of its keys occur in another block too, or twice in the block."""
+def repeated(rows: DataFrame, kind: int, halves: tuple[str, ...] = ("keys",)) -> DataFrame:
+    """Per block and bucket, which of its keys (in one or two halves) occur in another block too, or twice in the block."""
     def count(key: tuple, part: pa.Table) -> pa.Table:
-        keys, twice = _blobs(part["keys"], "<u8"), _blobs(part["twice"], "u1")
-        sizes = np.cumsum([len(k) for k in keys])[:-1]
-        _, place, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        n = n + (np.bincount(place, np.concatenate(twice)) > 0)
+        keys, twice = [_blobs(part[c], "<u8") for c in halves], _blobs(part["twice"], "u1")
+        sizes = np.cumsum([len(k) for k in keys[0]])[:-1]
+        place = _classes(*map(np.concatenate, keys))[2]
+        n = np.bincount(place) + (np.bincount(place, np.concatenate(twice)) > 0)
         return _marks(part, kind, key[0].as_py(), np.split(n[place] > 1, sizes))
 
-    return rows.where("bucket IS NOT NULL").select("block", "bucket", "keys", "twice").groupBy("bucket").applyInArrow(count, MARKS)
+    return rows.where("bucket IS NOT NULL").select("block", "bucket", *halves, "twice").groupBy("bucket").applyInArrow(count, MARKS)
 
 
 def _each_block(left: DataFrame, right: DataFrame, run, schema: str) -> DataFrame:
@@ -226,7 +240,7 @@ def _each_block(left: DataFrame, right: DataFrame, run, schema: str) -> DataFram
         marks = marks.sort_by([("kind", "ascending"), ("bucket", "ascending")])
         kinds = marks["kind"].to_numpy()
         blobs = marks["marks"].to_pylist()
-        found = {k: np.frombuffer(b"".join(b for x, b in zip(kinds, blobs) if x == k), "u1") for k in range(4)}
+        found = {k: np.frombuffer(b"".join(b for x, b in zip(kinds, blobs) if x == k), "u1") for k in range(5)}
         return pa.Table.from_batches([run(own.to_pylist()[0], found)])
 
     # What is shuffled is small beside the texts that a task then reads, so a task gets about one block.
@@ -243,47 +257,112 @@ def contexts(files: DataFrame, marks: DataFrame, out: str, bits: int) -> DataFra
         _, place = np.unique(s["hash"], return_inverse=True)
         held = {c: v[found[0][place] > 0] if len(place) else v for c, v in s.items()}
         own_hash = np.array([_hash(texts[t][a:b + WINDOW] + bytes([p - a])) for t, p, a, b in zip(*(held[c].tolist() for c in ("text", "at", "low", "high")))], "u8")
-        order = np.lexsort((own_hash, held["hash"]))
+        order, new, which = _classes(held["hash"], own_hash)
         h, c = held["hash"][order], own_hash[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-        which = np.empty(len(h), "i8")
-        which[order] = np.cumsum(new) - 1
         first = np.nonzero(new)[0]
         n = np.diff(np.append(first, len(h)))
-        state = {k: held[k].astype("u4") for k in ("text", "at", "low", "high")} | {"which": which.astype("u4"), "one": order[first].astype("u4"), "hash": h[first], "texts": np.array([own["path"]])}
+        state = {k: held[k].astype("u4") for k in ("text", "at", "low", "high")} | {"which": which.astype("u4"), "one": order[first].astype("u4"), "hash": h[first], "dealt": (c[first] >> U(64 - bits)).astype("u4"), "texts": np.array([own["path"]])}
         return block_rows(own["of_block"], Files(out).put(state), h[first], n > 1, bits, c[first])
 
     return saved(_each_block(files, marks, run, BLOCK_ROWS), "contexts")
 
 
-ALONE, WHOLE, OPEN, SOURCE, HOT_OPEN, HOT_SOURCE = range(6)
+ALONE, WHOLE, OPEN, SOURCE, HOT_OPEN, HOT_SOURCE, HOT_ASKED = range(7)
+
+
+def hot_seeds(rows: DataFrame) -> DataFrame:
+    """bucket, hot: the sorted hot seeds of the buckets that have any, from the number of contexts in each block."""
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counted = [np.unique(np.frombuffer(k, "<u8"), return_counts=True) for k in batch.column(1).to_pylist()]
+            blobs = [pa.array([x[j].astype(kind).tobytes() for x in counted], pa.binary()) for j, kind in enumerate(("<u8", "<u4"))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *blobs], names=["bucket", "keys", "counts"])
+
+    def total(key: tuple, part: pa.Table) -> pa.Table:
+        keys, place = np.unique(np.concatenate(_blobs(part["keys"], "<u8")), return_inverse=True)
+        hot = keys[np.bincount(place, np.concatenate(_blobs(part["counts"], "<u4"))) > HOT]
+        return pa.table({"bucket": pa.array([key[0].as_py()][:len(hot)], pa.int32()), "hot": pa.array([hot.astype("<u8").tobytes()][:len(hot)], pa.binary())})
 
+    counted = rows.mapInArrow(own, "bucket int, keys binary, counts binary")
+    return saved(counted.groupBy("bucket").applyInArrow(total, "bucket int, hot binary"), "hot-seeds")
 
-def verdicts(rows: DataFrame) -> DataFrame:
-    """Per block and bucket, what is known of each context from the hashes alone."""
+
+DEALT = "what string, dealt int, block long, bucket int, keys binary, more binary, twice binary, asked binary"
+
+
+def deal(rows: DataFrame, bits: int) -> DataFrame:
+    """Contexts by bucket of the seed, those of hot seeds by bucket of their own hash; `asked` tells the hot ones of a row."""
+    names = [f.split()[0] for f in DEALT.split(", ")]
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 4
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for block, bucket, keys, more, twice, hot in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "keys", "more", "twice", "hot"))):
+                h, c, t = np.frombuffer(keys, "<u8"), np.frombuffer(more, "<u8"), np.frombuffer(twice, "u1")
+                asked = np.isin(h, np.frombuffer(hot or b"", "<u8"))
+                out.append(("seed", bucket, block, bucket, h[~asked].tobytes(), c[~asked].tobytes(), t[~asked].tobytes(), asked.tobytes()))
+                at = np.nonzero(asked)[0]
+                at = at[np.argsort(c[at] >> U(64 - bits), kind="stable")]
+                for part, where in by_bucket(c[at], bits):
+                    out.append(("context", part, block, bucket, *(x[at[where]].tobytes() for x in (h, c, t)), None))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=names)
+
+    return rows.mapInArrow(run, DEALT)
+
+
+def verdicts(rows: DataFrame, bits: int) -> DataFrame:
+    """Per block and bucket, what is known of each context from the hashes alone.
+
+    Marks of kind 1 are in the order of the seeds; contexts of hot seeds are HOT_ASKED there, and have marks of kind 4
+    in the order of their own bucket, then of the seeds.
+    """
     def judge(key: tuple, part: pa.Table) -> pa.Table:
+        hot = key[0].as_py() == "context"
         keys, more, twice = _blobs(part["keys"], "<u8"), _blobs(part["more"], "<u8"), _blobs(part["twice"], "u1")
-        sizes = np.cumsum([len(k) for k in keys])[:-1]
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
         h, c, twice = np.concatenate(keys), np.concatenate(more), np.concatenate(twice)
         row = np.repeat(part["block"].to_numpy(), [len(k) for k in keys])
-        order = np.lexsort((row, c, h))
-        new = np.ones(len(h), bool)
-        new[1:] = (h[order][1:] != h[order][:-1]) | (c[order][1:] != c[order][:-1])
-        kind = np.cumsum(new) - 1  # number of the different context
-        n = np.bincount(kind) + (np.bincount(kind, twice[order]) > 0)
-        _, seed, others = np.unique(h[order][new], return_inverse=True, return_counts=True)
-        others = others[seed]
-        code = np.where(n[kind] > 1, np.where((others[kind] > 1) & new, SOURCE, WHOLE), np.where(others[kind] > 1, OPEN, ALONE))
-        code = np.where((others[kind] > HOT) & (code == OPEN), HOT_OPEN, np.where((others[kind] > HOT) & (code == SOURCE), HOT_SOURCE, code))
-        back = np.empty(len(h), "i8")
-        back[order] = code
-        return _marks(part, 1, key[0].as_py(), np.split(back, sizes))
-
-    return rows.where("bucket IS NOT NULL").select("block", "bucket", "keys", "more", "twice").groupBy("bucket").applyInArrow(judge, MARKS)
-
-
-OPEN_ROWS = "block long, what string, bucket int, keys binary, twice binary, before binary, windows binary, bytes binary"
+        by_row = np.argsort(row, kind="stable")  # the first block with a context stands for it
+        order, new, klass = _classes(h[by_row], c[by_row])
+        order, back = by_row[order], np.empty(len(h), "i8")
+        back[by_row] = klass
+        n = np.bincount(back, minlength=1) + (np.bincount(back, twice, minlength=1) > 0)
+        first = np.zeros(len(h), bool)
+        first[order[new]] = True
+        again = n[back] > 1
+        if hot:
+            code = np.where(again, np.where(first, HOT_SOURCE, WHOLE), HOT_OPEN)
+        else:
+            _, seed, others = np.unique(h[order][new], return_inverse=True, return_counts=True)
+            several = others[seed][back] > 1 if len(h) else again
+            code = np.where(again, np.where(several & first, SOURCE, WHOLE), np.where(several, OPEN, ALONE))
+        own = np.split(code, cuts)
+        if hot:
+            place = [(key[1].as_py() << 30) + b for b in part["bucket"].to_pylist()]
+        else:
+            place, asked = part["bucket"].to_pylist(), _blobs(part["asked"], "?")
+            for k, (a, codes) in enumerate(zip(asked, own)):
+                own[k] = np.full(len(a), HOT_ASKED)
+                own[k][~a] = codes
+        marks = _marks(part, 4 if hot else 1, 0, own)
+        return marks.set_column(2, "bucket", pa.array(place, pa.int64()))
+
+    rows = rows.where("bucket IS NOT NULL").select("block", "bucket", "keys", "more", "twice")
+    # Hot seeds are at most one in HOT contexts; Spark broadcasts them where they are few.
+    rows = rows.join(hot_seeds(rows.select("bucket", "keys")), "bucket", "left")
+    return deal(rows, bits).groupBy("what", "dealt").applyInArrow(judge, MARKS)
+
+
+def codes_of(state: dict, found: dict) -> np.ndarray:
+    """The verdict on each context of a block, in the order of its seeds."""
+    code = found[1].copy()
+    asked = np.nonzero(code == HOT_ASKED)[0]
+    code[asked[np.argsort(state["dealt"][asked], kind="stable")]] = found[4]
+    return code
+
+
+OPEN_ROWS = "block long, what string, bucket int, keys binary, more binary, twice binary, before binary, windows binary, bytes binary"
 
 
 def _context(state: dict, s: int, texts: list[bytes]) -> tuple[bytes, int, int, int]:
@@ -299,7 +378,7 @@ def bring(files: DataFrame, marks: DataFrame, bits: int) -> DataFrame:
     def run(own: dict, found: dict) -> pa.RecordBatch:
         state = Files.get(own["path"])
         _, texts = read_texts(str(state["texts"][0]))
-        code, out = found[1], []
+        code, out = codes_of(state, found), []
         for bucket, part in by_bucket(state["hash"], bits):
             ids = np.nonzero((code[part] == OPEN) | (code[part] == SOURCE))[0] + part.start
             before, windows, pieces = [], [], []
@@ -309,28 +388,32 @@ def bring(files: DataFrame, marks: DataFrame, bits: int) -> DataFrame:
                 windows.append(b - a + 1)
                 pieces.append(text[a:p] + text[p + SEED:b + WINDOW])
             if len(ids):
-                out.append((own["of_block"], "contexts", bucket, state["hash"][ids].tobytes(), None, np.array(before, "u1").tobytes(), np.array(windows, "u1").tobytes(), b"".join(pieces)))
-        u, n = np.unique(hot_windows(state, code, texts)[0], return_counts=True)
+                out.append((own["of_block"], "contexts", bucket, state["hash"][ids].tobytes(), None, None, np.array(before, "u1").tobytes(), np.array(windows, "u1").tobytes(), b"".join(pieces)))
+        keys, more = hot_windows(state, code, texts)[0]
+        order, new, _ = _classes(keys, more)
+        first = np.nonzero(new)[0]
+        u, v, n = keys[order][first], more[order][first], np.diff(np.append(first, len(order)))
         for bucket, part in by_bucket(u, bits):
-            out.append((own["of_block"], "hot", bucket, u[part].tobytes(), (n[part] > 1).astype("u1").tobytes(), None, None, None))
-        kinds = [pa.int64(), pa.string(), pa.int32()] + [pa.binary()] * 5
+            out.append((own["of_block"], "hot", bucket, u[part].tobytes(), v[part].tobytes(), (n[part] > 1).astype("u1").tobytes(), None, None, None))
+        kinds = [pa.int64(), pa.string(), pa.int32()] + [pa.binary()] * 6
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=names)
 
     return saved(_each_block(files, marks, run, OPEN_ROWS), "open-contexts")
 
 
-def hot_windows(state: dict, code: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, context and number in the context of every window of the hot contexts."""
+def hot_windows(state: dict, code: np.ndarray, texts: list[bytes]) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray]:
+    """Both halves of the hash, context and number in the context of every window of the hot contexts."""
     h, of, number = [], [], []
     for k in np.nonzero((code == HOT_OPEN) | (code == HOT_SOURCE))[0]:
         text, _, a, b = _context(state, state["one"][k], texts)
-        own = [_hash(text[x:x + WINDOW]) for x in range(a, b + 1)]
+        own = [hashlib.blake2b(text[x:x + WINDOW], digest_size=16).digest() for x in range(a, b + 1)]
         # one that stands for all its equals counts twice
         for _ in range(2 if code[k] == HOT_SOURCE else 1):
             h += own
             of += [k] * len(own)
             number += range(len(own))
-    return np.array(h, "u8"), np.array(of, "i8"), np.array(number, "i8")
+    both = np.frombuffer(b"".join(h), "<u8").reshape(-1, 2)
+    return (both[:, 0], both[:, 1]), np.array(of, "i8"), np.array(number, "i8")
 
 
 def equal_windows(seed: np.ndarray, before: np.ndarray, windows: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -352,7 +435,7 @@ def equal_windows(seed: np.ndarray, before: np.ndarray, windows: np.ndarray, dat
     tiles = np.nonzero(new_tile)[0]
     tile_ends = np.append(tiles[1:], len(seed))
     tile_sizes = np.add.reduceat(size + 2, tiles) if len(tiles) else np.zeros(0, "i8")
-    leads: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    leads: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     order = np.argsort(-tile_sizes, kind="stable")  # strings of like size take their steps together
     k = 0
     while k < len(order):
@@ -388,13 +471,14 @@ def equal_windows(seed: np.ndarray, before: np.ndarray, windows: np.ndarray, dat
         # Seeds with several tiles: one window of each class is compared with those of the other tiles.
         cut_up = np.isin(seed[which][of[window]], seed[tile > 0]) if (tile > 0).any() else np.zeros(len(window), bool)
         if cut_up.any():
-            rows = symbols[window[cut_up][:, None] + np.arange(REACH)].astype("<i2")
-            leads.append((seed[which][of[window[cut_up]]], rows, place[cut_up]))
+            lead = window[cut_up & ~same]
+            rows = symbols[lead[:, None] + np.arange(REACH)].astype("<i2")
+            leads.append((seed[which][of[lead]], rows, place[cut_up], np.bincount(klass[cut_up])[klass[cut_up & ~same]]))
     if leads:
-        s, rows, place = (np.concatenate([x[j] for x in leads]) for j in range(3))
+        s, rows, place, members = (np.concatenate([x[j] for x in leads]) for j in range(4))
         whole = np.hstack([s.view("u1").reshape(len(s), 8), rows.view("u1").reshape(len(s), -1)])
         _, klass, n = np.unique(_digests(whole), return_inverse=True, return_counts=True)
-        marks[place] |= n[klass] > 1
+        marks[place] |= np.repeat(n[klass] > 1, members)
     return marks
 
 
@@ -437,7 +521,7 @@ def finish(files: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
     def run(own: dict, found: dict) -> pa.RecordBatch:
         state = Files.get(own["path"])
         ids, texts = read_texts(str(state["texts"][0]))
-        code, which = found[1], state["which"].astype("i8")
+        code, which = codes_of(state, found), state["which"].astype("i8")
         starts = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
         low, high = (starts[state["text"]] + state[c] for c in ("low", "high"))
         edge = np.zeros(int(starts[-1]) + 1, "i4")
@@ -452,9 +536,8 @@ def finish(files: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[seed_of], n)
         at = at[found[2] > 0] if len(at) else at
         hot, of, number = hot_windows(state, code, texts)
-        if len(hot):
-            _, place = np.unique(hot, return_inverse=True)
-            again = found[3][place] > 0
+        if len(of):
+            again = found[3][_classes(*hot)[2]] > 0
             at = np.concatenate((at, low[state["one"][of[again]]] + number[again]))
         np.add.at(edge, at, 1)
         np.add.at(edge, at + WINDOW, -1)
@@ -486,9 +569,9 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     blocks = cut(rows, out, bits)
     files = lambda t: t.where("bucket IS NULL").select("block", "path")
     found = contexts(files(blocks), repeated(blocks, 0), out, bits)
-    known = saved(verdicts(found), "verdicts")
+    known = saved(verdicts(found, bits), "verdicts")
     open_ = bring(files(found), known, bits)
-    marks = known.unionByName(compare(open_, bits)).unionByName(repeated(open_.where("what = 'hot'"), 3))
+    marks = known.unionByName(compare(open_, bits)).unionByName(repeated(open_.where("what = 'hot'"), 3, ("keys", "more")))
     return finish(files(found), marks, with_text)
 
 

@@ -108,6 +108,49 @@ def test_a_line_that_many_texts_hold(docs_of, monkeypatch, tile, hot):
     assert run(docs_of(docs)) == brute(docs)
 
 
+def test_strings_of_a_seed_are_compared_by_one_window_of_each_class(monkeypatch):
+    """Many contexts of one seed in strings of three: the same marks as with all of them in one string."""
+    rng = np.random.default_rng(5)
+    before, windows, data = [], [], []
+    for _ in range(40):
+        n = int(rng.integers(1, sd.REACH + 1))
+        windows.append(n)
+        before.append(sd.REACH - 1 if n == sd.REACH else int(rng.integers(n - 1, sd.REACH)))
+        data.append(rng.integers(97, 99, n + sd.REACH - 2) if rng.random() < 0.4 else np.full(n + sd.REACH - 2, 97))
+    seed = np.repeat(np.array([3, 8], "u8"), 20)
+    args = seed, np.array(before), np.array(windows), np.concatenate(data)
+    at_once = sd.equal_windows(*args)
+    held, marks = Counter(), []
+    for s, b, n, d in zip(seed.tolist(), before, windows, data):
+        own = [(s, b - x, tuple(d[x:x + sd.REACH - 1].tolist())) for x in range(n)]
+        held.update(own)
+        marks += own
+    assert at_once.tolist() == [held[w] > 1 for w in marks] and 0 < at_once.sum() < len(at_once)
+    monkeypatch.setattr(sd, "TILE", 3)
+    assert sd.equal_windows(*args).tolist() == at_once.tolist()
+
+
+def test_no_task_gathers_the_contexts_of_a_hot_seed(spark, docs_of, monkeypatch, tmp_path):
+    """A line in each text: its contexts are dealt by their own hash, and no group holds more of a seed than HOT."""
+    monkeypatch.setattr(sd, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(sd, "HOT", 10)
+    rng = random.Random(12)
+    say = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    line = say(190)
+    docs = [(k, say(60) + line + say(60)) for k in range(60)] + [(100 + k, say(40) + say(160) * 2) for k in range(10)]
+    docs += [(200, docs[0][1]), (201, docs[0][1])]
+    dealt = []
+    plain = sd.deal
+    monkeypatch.setattr(sd, "deal", lambda rows, bits: dealt.append(plain(rows, bits)) or dealt[-1])
+    assert run(docs_of(docs)) == brute(docs)
+    groups = {}
+    for r in dealt[0].collect():
+        groups.setdefault((r["what"], r["dealt"]), []).extend(np.frombuffer(r["keys"], "<u8").tolist())
+    assert max(max(Counter(k).values(), default=0) for (what, _), k in groups.items() if what == "seed") <= 10
+    assert sum(len(k) for (what, _), k in groups.items() if what == "context") > 60
+    assert sum(what == "context" for what, _ in groups) > 1
+
+
 def test_kept_text_and_spans(docs_of):
     line = "".join(random.Random(4).choice("abcdefgh") for _ in range(250))
     docs = [(1, "one " + line + " end"), (2, line + "two")]
