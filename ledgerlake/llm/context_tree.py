@@ -11,8 +11,9 @@ with their counts in training texts, packed by bucket: the last two bytes of the
 word's hash. Equal buckets of up to `FAN_IN` blocks are added up, in rounds, until one is left of each. A gram bucket
 is then a subtree of the model: it is weighed by itself, and the top (256 * 256 nodes) from the sums of the subtrees.
 That gives a log probability for every n-gram that occurs anywhere. Each block is handed the values of its own
-n-grams and words, `FAN_IN` blocks and a bucket at a time, and adds them up per text. No task holds the model or the
-vocabulary; a task holds a block, or a bucket of `FAN_IN` blocks.
+n-grams and words, and adds them up per text. For that a bucket is dealt into one part for every `FAN_IN` blocks,
+the values as well as what the blocks ask for: the model is moved once, however many blocks there are. No task holds
+the model or the vocabulary; a task holds a block, a bucket of `FAN_IN` blocks, or a part of a bucket of all blocks.
 
 Texts are lower-cased (A-Z), start after `DEPTH` zero bytes, and end with a zero byte that is coded too.
 The base is the unigram model of words and end marks with add-one smoothing. Words are told apart by 64 bits of
@@ -36,7 +37,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import clean_text, id_remainder, new_path, saved, table
+from .common import clean_text, cogrouped, id_remainder, new_path, saved, table
 
 HELD_OUT = (7, 2)
 #: Bytes of context; up to 7.
@@ -343,22 +344,53 @@ def values(merged: DataFrame, n_blocks: int, depth: int = DEPTH) -> DataFrame:
     return merged.mapInArrow(weigh, "kind int, bucket int, keys binary, found binary")
 
 
-def hand_out(rows: DataFrame, found: DataFrame, n_blocks: int, depth: int) -> DataFrame:
-    """block, kind, bucket, found: the values of each block's own keys, in their order."""
-    groups = -(-max(1, n_blocks) // FAN_IN)
-    asked = rows.select(F.col("kind").alias("k"), F.col("bucket").alias("b"), F.pmod(F.xxhash64("block"), F.lit(groups)).alias("g"), "block", "keys")
-    offered = found.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+def part_of(kind: int, keys: np.ndarray, parts: int) -> np.ndarray:
+    """Which part of its bucket a key goes to. Words, which are hashes, go by range, so that parts follow their order."""
+    if kind == WORD:
+        return (keys >> U(64 - WORD_BITS - 32)) * U(parts) >> U(32)
+    return (keys.astype("u8") * U(0x9E3779B97F4A7C15) >> U(33)) % U(parts)
 
-    def look(key: tuple, own: pa.Table, all_: pa.Table) -> pa.Table:
-        kind, bucket = key[0].as_py(), key[1].as_py()
+
+IN_PARTS = "block long, kind int, bucket int, part int, keys binary, found binary"
+
+
+def in_parts(rows: DataFrame, parts: int, depth: int) -> DataFrame:
+    """Rows of block, kind, bucket, keys, found with the keys of each part in a row of their own; without block the model's."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, kind, bucket, data, found in _each(batches):
+            keys = unpack(kind, data, depth)
+            value = None if found is None else np.frombuffer(found, "<f4" if kind == GRAM else "<i8")
+            part = part_of(kind, keys, parts)
+            order = np.argsort(part, kind="stable")
+            edges = np.searchsorted(part[order], np.arange(parts + 1))
+            held = [(p, order[a:b]) for p, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block] * len(held), pa.int64()), pa.array([kind] * len(held), pa.int32()), pa.array([bucket] * len(held), pa.int32()),
+                pa.array([p for p, _ in held], pa.int32()), pa.array([keys[at].tobytes() for _, at in held], pa.binary()),
+                pa.array([None if value is None else value[at].tobytes() for _, at in held], pa.binary()),
+            ], names=[f.split()[0] for f in IN_PARTS.split(", ")])
+
+    if parts == 1:
+        return rows.select("block", "kind", "bucket", F.lit(0).alias("part"), "keys", "found")
+    return rows.select("block", "kind", "bucket", "keys", "found").mapInArrow(deal, IN_PARTS)
+
+
+def hand_out(rows: DataFrame, found: DataFrame, parts: int, depth: int) -> DataFrame:
+    """block, kind, place, found: the values of each block's own keys, in the order of bucket, part and key."""
+    asked = in_parts(rows.withColumn("found", F.lit(None).cast("binary")), parts, depth).drop("found")
+    offered = in_parts(found.withColumn("block", F.lit(None).cast("long")), parts, depth).drop("block")
+
+    def look(key: tuple, own: pa.Table, model: pa.Table) -> pa.Table:
+        kind, bucket, part = (k.as_py() for k in key)
         out = []
         if own.num_rows:
-            keys = unpack(kind, all_["keys"][0].as_py(), depth)
-            value = np.frombuffer(all_["found"][0].as_py(), "<f4" if kind == GRAM else "<i8")
+            keys = unpack(kind, model["keys"][0].as_py(), depth)
+            value = np.frombuffer(model["found"][0].as_py(), "<f4" if kind == GRAM else "<i8")
             out = [value[np.searchsorted(keys, unpack(kind, d, depth))].tobytes() for d in own["keys"].to_pylist()]
-        return pa.table({"block": own["block"].cast(pa.int64()), "kind": pa.array([kind] * len(out), pa.int32()), "bucket": pa.array([bucket] * len(out), pa.int32()), "found": pa.array(out, pa.binary())})
+        n = len(out)
+        return pa.table({"block": own["block"].cast(pa.int64()), "kind": pa.array([kind] * n, pa.int32()), "place": pa.array([bucket * parts + part] * n, pa.int64()), "found": pa.array(out, pa.binary())})
 
-    return asked.groupBy("k", "b", "g").cogroup(offered.groupBy("kind", "bucket", "g")).applyInArrow(look, "block long, kind int, bucket int, found binary")
+    return cogrouped(asked, offered, ["kind", "bucket", "part"], look, "block long, kind int, place long, found binary")
 
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
@@ -377,7 +409,8 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     tokens, different = merged.where(F.col("kind") == WORD).select("counts").mapInArrow(totals, "n long, v long").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v")]).first()
     tokens, different = tokens + ends, different + (ends > 0)
     rest = tokens + different + 1
-    handed = hand_out(rows, values(merged, n_blocks, depth), n_blocks, depth)
+    parts, shift = -(-max(1, n_blocks) // FAN_IN), 8 * (depth + 1 - TOP)
+    handed = hand_out(rows, values(merged, n_blocks, depth), parts, depth)
     columns = [f.split()[0] for f in RESULT.split(", ")]
     kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
 
@@ -391,12 +424,16 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         with where.open_input_file(name) as f:
             held = pa.ipc.open_stream(f).read_all().combine_chunks()
         texts = held["text"].to_pylist()
-        found = found.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        found = found.sort_by([("kind", "ascending"), ("place", "ascending")])
         kind = found["kind"].to_numpy()
         data = found["found"].to_pylist()
         value = np.frombuffer(b"".join(d for k, d in zip(kind, data) if k == GRAM), "<f4")
         counts = np.frombuffer(b"".join(d for k, d in zip(kind, data) if k == WORD), "<i8")
         unique = read("gram").to_numpy()
+        if parts > 1:
+            by_key = value.copy()
+            by_key[np.lexsort((part_of(GRAM, unique & U((1 << shift) - 1), parts), unique >> U(shift)))] = value
+            value = by_key
         pieces, size, start = [], 0, 0
         for k, t in enumerate(texts, 1):
             size += len(t)

@@ -127,6 +127,22 @@ def test_seen_text_costs_less_than_unseen(docs_of):
     assert got[HELD_IDS[0]] > 5 * got[HELD_IDS[1]]
 
 
+def test_the_model_is_moved_once_however_many_blocks_ask(docs_of, small, monkeypatch):
+    """Each key of the model is in one part, parts are about even, and none is copied for a group of blocks."""
+    rng = random.Random(3)
+    docs = [(i, "".join(rng.choice("abcdef ") for _ in range(60))) for i in TRAIN_IDS[:60]]
+    moved, plain = [], ct.in_parts
+    monkeypatch.setattr(ct, "in_parts", lambda rows, parts, depth: moved.append((parts, plain(rows, parts, depth))) or moved[-1][1])
+    got = run(docs_of(docs).repartition(4), 3)
+    assert got == brute(docs, 3)
+    (parts, asked), (_, offered) = moved
+    assert parts > 5
+    model = [(r["kind"], r["bucket"], r["part"], k) for r in offered.collect() for k in ct.unpack(r["kind"], r["keys"], 3).tolist()]
+    assert len(model) == len({(kind, bucket, k) for kind, bucket, _, k in model}) and {m[2] for m in model} == set(range(parts))
+    wanted = {(r["kind"], r["bucket"], r["part"], k) for r in asked.collect() for k in ct.unpack(r["kind"], r["keys"], 3).tolist()}
+    assert wanted == set(model)
+
+
 def test_awkward_and_empty_tables(docs_of, awkward):
     short = [(i, t if t is None or len(t) < 1000 else t[:200]) for i, t in awkward]
     assert run(docs_of(short), 3) == brute(short, 3)
