@@ -11,7 +11,9 @@ classes are the connected components.
 2. Texts with the same words are one from here on. Registers are cut into bands; texts that agree in a whole band
    share a bucket. At 0.8, all 48 bands of 7 miss a pair with a probability of 1.3e-5.
 3. All texts of a bucket meet under the bucket's least text, its hub: a text goes to each of its hubs once, however
-   many buckets it shares with it. Large hubs are cut into tiles, and every pair of tiles meets in a task of its own.
+   many buckets it shares with it. Large hubs are cut into tiles, and the hub's text goes to each: what is linked
+   to the hub there, by itself or through others of the tile, is in one class already. Only the rest of a tile, which
+   a family of near copies has little of, then meets the texts of all tiles, so that no pair is left out.
 4. There, one matrix product bounds J_P from above for all pairs (by the mass of either text that the other covers),
    and pairs above the bound are measured exactly. Of the links found only a spanning star per component leaves
    the task, so a group of n copies gives n rows, not n * n.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import clean_text, saved, scratch, table, word_hashes
 from .phrase_index import words
@@ -210,16 +212,19 @@ def links(left: list[str], right: list[str]) -> list[tuple[int, int]]:
     return [(find(v), v) for v in range(n) if find(v) != v]
 
 
+def tiles_of(n: str, n_bytes: str) -> Column:
+    return F.ceil(F.greatest(F.col(n) / TILE_TEXTS, F.col(n_bytes) / TILE_BYTES))
+
+
 def candidates(texts: DataFrame) -> DataFrame:
-    """hub, t, tile, tiles: every text once for each hub that it shares a bucket with; hubs themselves too."""
+    """hub, t, n_bytes, tile, tiles: every text once for each hub that it shares a bucket with; hubs themselves too."""
     buckets = texts.select("t", "n_bytes", F.explode("bands").alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("t").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "hub")
     members = saved(buckets.join(hubs, "bucket").select("hub", "t", "n_bytes").distinct(), "hub-members")
     sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes"))
-    tiles = F.ceil(F.greatest(F.col("n") / TILE_TEXTS, F.col("bytes") / TILE_BYTES))
     # written, so that the members of a large hub are not dealt by hub for the sum, and the join may split them
-    placed = members.join(saved(sizes.select("hub", tiles.alias("tiles")), "hub-sizes"), "hub")
-    return placed.select("hub", "t", F.pmod(F.xxhash64("t"), F.col("tiles")).alias("tile"), "tiles")
+    placed = members.join(saved(sizes.select("hub", tiles_of("n", "bytes").alias("tiles")), "hub-sizes"), "hub")
+    return placed.select("hub", "t", "n_bytes", F.pmod(F.xxhash64("t"), F.col("tiles")).alias("tile"), "tiles")
 
 
 def same_row(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -228,36 +233,82 @@ def same_row(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame
     return left.join(right, left["doc_id"].eqNullSafe(right["_id"]) & (left["digest"] == right["_digest"]), how).drop("_id", "_digest")
 
 
+def with_text(docs: DataFrame, texts: DataFrame, places: DataFrame) -> DataFrame:
+    """t, text and the other columns of `places`, which holds a text once for each of its hubs and sides."""
+    rest = [c for c in places.columns if c != "t"]
+    held = places.groupBy("t").agg(F.collect_list(F.struct(*rest)).alias("places"))  # a hub per band and two sides at most
+    at = same_row(_rows(docs), texts.select("t", "doc_id", "digest").join(held, "t")).dropDuplicates(["doc_id", "digest"])
+    return at.select("t", "text", F.explode("places").alias("p")).select("t", "text", "p.*")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of (hub, low, high, side, t, text), sorted, that agree in hub, low and high."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and held[0][:3] != row[:3]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def met(rows: DataFrame, by) -> DataFrame:
+    """`by` over each group of (hub, low, high): links as (a, b, null), texts that are left as (t, null, hub)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            out = by(group)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(3)], names=["a", "b", "hub"])
+
+    where = ["hub", "low", "high"]
+    rows = rows.select(*where, "side", "t", "text").repartition(*where).sortWithinPartitions(*where)
+    return rows.mapInArrow(run, "a long, b long, hub long")
+
+
+def in_tile(group: list[tuple]) -> list[tuple]:
+    """Links of a tile, which holds the hub too; in a hub of several tiles (side), also what is not in the hub's class."""
+    keys = [r[4] for r in group]
+    stars = links([r[5] for r in group], [])
+    out = [(keys[a], keys[b], None) for a, b in stars]
+    if group[0][3]:
+        hub, head = group[0][0], list(range(len(keys)))
+        for a, b in stars:
+            head[b] = a
+        own = head[keys.index(hub)]
+        out += [(key, None, hub) for k, key in enumerate(keys) if head[k] != own]
+    return out
+
+
+def across(group: list[tuple]) -> list[tuple]:
+    """Links between texts that were left (side false) and those of a tile."""
+    left, right = ([r for r in group if r[3] is side] for side in (False, True))
+    keys = [r[4] for r in (*left, *right)]
+    found = links([r[5] for r in left], [r[5] for r in right]) if left and right else []
+    return [(keys[a], keys[b], None) for a, b in found if keys[a] != keys[b]]
+
+
 def linked(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b (numbers of texts): stars that span the linked texts of every group."""
-    hubs = candidates(texts).groupBy("t").agg(F.collect_list(F.struct("hub", "tile", "tiles")).alias("hubs"))  # a hub per band at most
-    wanted = texts.select("t", "doc_id", "digest").join(hubs, "t")
-    at = same_row(_rows(docs), wanted).dropDuplicates(["doc_id", "digest"])
-    at = at.select("t", "text", F.explode("hubs").alias("p")).select("t", "text", "p.*")
-    at = at.select("t", "text", "hub", "tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other"))
-    group = [F.col("hub"), F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")]
-    at = at.select(*group, (F.col("tile") > F.col("other")).alias("right"), "t", "text")
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(held: list) -> pa.RecordBatch:
-            crossing = held[0][0][1] != held[0][0][2]
-            left, right = ([r for r in held if r[1] == side] for side in (False, True))
-            keys = [r[2] for r in (*left, *right)]
-            found = links([r[3] for r in left], [r[3] for r in right]) if left and (right or not crossing) else []
-            return pa.RecordBatch.from_arrays([pa.array([keys[x[k]] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-        held: list = []
-        for batch in batches:
-            for *where, right, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[0][0] != where:
-                    yield done(held)
-                    held = []
-                held.append((where, right, key, text))
-        if held:
-            yield done(held)
-
-    met = at.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high")
-    return met.mapInArrow(meet, "a long, b long")
+    """a, b (numbers of texts): links that connect the linked texts of every group."""
+    members = saved(candidates(texts), "candidates")
+    cut = F.col("tiles") > 1
+    first, last = (F.when(cut & (F.col("t") == F.col("hub")), of_hub).otherwise(F.col("tile")) for of_hub in (F.lit(0).cast("long"), F.col("tiles") - 1))
+    at = with_text(docs, texts, members.select("t", "hub", first.alias("first"), last.alias("last"), cut.alias("side")))
+    at = at.withColumn("low", F.explode(F.sequence("first", "last"))).withColumn("high", F.col("low"))
+    found = saved(met(at, in_tile), "tile-links")
+    edges = found.where("b IS NOT NULL").select("a", "b")
+    left = found.where("b IS NULL").select("hub", F.col("a").alias("t"))
+    if left.isEmpty():
+        return edges
+    left = saved(left.join(members, ["hub", "t"]), "left-over")
+    parts = left.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes")).select("hub", tiles_of("n", "bytes").alias("parts"))
+    parts = saved(parts, "left-over-sizes")
+    asking = left.join(parts, "hub").select("t", "hub", F.pmod(F.xxhash64("t"), F.col("parts")).alias("own"), F.col("tiles").alias("others"), F.lit(False).alias("side"))
+    asked = members.join(parts, "hub").select("t", "hub", F.col("tile").alias("own"), F.col("parts").alias("others"), F.lit(True).alias("side"))
+    at = with_text(docs, texts, asking.unionByName(asked))
+    at = at.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
+    low, high = (F.when(side, F.col("other")).otherwise(F.col("own")) for side in (F.col("side"), ~F.col("side")))
+    return edges.unionByName(met(at.select("hub", low.alias("low"), high.alias("high"), "side", "t", "text"), across).select("a", "b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
