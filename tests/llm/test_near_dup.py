@@ -91,25 +91,6 @@ def test_large_hubs_are_cut_into_tiles(docs_of, monkeypatch):
     assert run(docs_of(docs)) == brute(docs)
 
 
-def test_texts_moved_for_a_hub_grow_with_its_texts_not_with_their_pairs(docs_of, monkeypatch):
-    """Near copies of one page: each text goes to its tile, the hub's to all, and nothing is left for a second pass."""
-    monkeypatch.setattr(nd, "TILE_TEXTS", 6)
-    rng = random.Random(8)
-    docs = []
-    for k in range(90):
-        text = [f"w{j}" for j in range(120)]
-        text[rng.randrange(120)] = f"x{k}"  # 111 of 121 shingles are the page's, 106 of 126 another copy's
-        docs.append((k, " ".join(text)))
-    rows, plain = [], nd.met
-    monkeypatch.setattr(nd, "met", lambda at, by: rows.append(at.count()) or plain(at, by))
-    members, wide = [], nd.candidates
-    monkeypatch.setattr(nd, "candidates", lambda texts: members.extend(wide(texts).collect()) or wide(texts))
-    assert {(r["class_id"], r["class_size"]) for r in nd.near_duplicates(docs_of(docs)).collect()} == {(0, 90)}
-    tiles = {r["hub"]: r["tiles"] for r in members}
-    assert max(tiles.values()) >= 10
-    assert rows == [len(members) + sum(n - 1 for n in tiles.values())]
-
-
 def test_keep_one_row_of_each_class(docs_of):
     docs = corpus(5) + [(703, "alpha beta gamma"), (703, "alpha beta gamma"), (900, "ALPHA, beta gamma!")]
     table = docs_of(docs)
