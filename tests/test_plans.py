@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import marts
+from ledgerlake.session import SETTINGS
 from ledgerlake.sources import tables
 from workload import catalogue
 from workload.adapters import Extracts
@@ -48,3 +49,15 @@ def test_customers_are_not_paired_with_months(spark):
     df = x.model.tables["fact_customer_monthly"]
     assert df.agg(F.sum("ActiveCustomers")).first()[0] > 0
     assert "sequence" not in plan_of(x.dim_customer_full)
+
+
+def test_compressed_dimension_is_not_broadcast(spark, tmp_path):
+    """A few bytes per row in the file, a hash table of all rows on the driver."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    keys = spark.range(200_000)
+    keys.select("id", F.lit("same").alias("name")).coalesce(1).write.parquet(str(tmp_path / "dim"))
+    keys.crossJoin(spark.range(5).select(F.col("id").alias("n"))).write.parquet(str(tmp_path / "fact"))
+    dim, fact = (spark.read.parquet(str(tmp_path / t)) for t in ("dim", "fact"))
+    plan = plan_of(fact.join(dim, "id"))
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
