@@ -61,3 +61,15 @@ def test_compressed_dimension_is_not_broadcast(spark, tmp_path):
     dim, fact = (spark.read.parquet(str(tmp_path / t)) for t in ("dim", "fact"))
     plan = plan_of(fact.join(dim, "id"))
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_region_meets_orders_before_lines(spark):
+    """The budget's regions are joined to the orders: no exchange of lines by customer."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(Extracts(spark, SF).budget_stage)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", SETTINGS["spark.sql.autoBroadcastJoinThreshold"])
+    lines = plan.splitlines()
+    custom = [i for i, line in enumerate(lines) if "hashpartitioning(o_custkey#" in line]
+    assert len(custom) == 1 and "l_partkey" not in "".join(lines[custom[0]:custom[0] + 4])

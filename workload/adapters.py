@@ -66,14 +66,21 @@ class Extracts:
     @cached_property
     def base(self) -> DataFrame:
         """One row per lineitem with its customer, product, dates and exact decimals."""
+        return self.lines(self.t("orders"))
+
+    def lines(self, orders: DataFrame, *extra: str) -> DataFrame:
+        """Lineitems of some orders, with `extra` columns of the orders.
+
+        The part comes first: who asks for some products has fewer rows to shuffle by order.
+        """
         li = self.t("lineitem").select(
             "l_orderkey", "l_partkey", "l_linenumber", dec("l_quantity").alias("qty"),
             dec("l_extendedprice").alias("price"), dec("l_discount", "decimal(4,2)").alias("disc"),
             dec("l_tax", "decimal(4,2)").alias("tax"), "l_returnflag", "l_linestatus",
             F.col("l_shipdate").cast("date").alias("ship_date"))
-        o = self.t("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"))
+        o = orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"), *extra)
         p = self.t("part").select("p_partkey", pick("p_type", {k: v[0] for k, v in PRODUCTS.items()}).alias("product_id"))
-        joined = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
+        joined = li.join(p, F.col("l_partkey") == F.col("p_partkey")).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
         return joined.withColumns({
             "month_end": F.last_day("order_date"),
             "account_id": F.concat_ws("-", F.col("o_custkey").cast("string"), F.col("product_id")),
@@ -309,7 +316,9 @@ class Extracts:
         def part(c: str, f: str) -> Column:
             return as_double(F.col(c) * F.lit(f).cast("decimal(5,3)"))
         c = self.customer_region.select("c_custkey", "r_name")
-        return self.base.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
+        # the region goes to the orders, which are fewer than their lines
+        placed = self.t("orders").join(c, F.col("o_custkey") == F.col("c_custkey"))
+        return self.lines(placed, "r_name").select(
             F.col("r_name").alias("region_code"), "month_end", "product_id", part("price", "1.020").alias("budget_balance"),
             part("price", "0.004").alias("budget_nii"), part("qty", "1.050").alias("budget_fees"),
             part("price", "0.001").alias("budget_impairment"))
