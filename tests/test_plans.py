@@ -9,6 +9,7 @@ from ledgerlake.session import SETTINGS
 from ledgerlake.sources import tables
 from workload import catalogue
 from workload.adapters import Extracts
+from workload.q_chain import Chain
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,3 +74,18 @@ def test_region_meets_orders_before_lines(spark):
     lines = plan.splitlines()
     custom = [i for i, line in enumerate(lines) if "hashpartitioning(o_custkey#" in line]
     assert len(custom) == 1 and "l_partkey" not in "".join(lines[custom[0]:custom[0] + 4])
+
+
+def test_customers_are_dealt_before_they_are_multiplied(spark):
+    """A file of a few MB is one split: millions of account ids would come from one task."""
+    plan = plan_of(Extracts(spark, SF).account_numbers)
+    assert "Exchange hashpartitioning(CustomerKey" in plan[plan.index("Generate explode"):]
+
+
+def test_account_deliveries_read_lines_once(spark):
+    """A mortgage is delivered twice from one row."""
+    accounts = Chain(spark, SF).accounts
+    assert plan_of(accounts).count("lineitem.parquet") == 1
+    kinds = {r["product_id"]: (r["n"], r["before"]) for r in accounts.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("account_status") == "Pending").alias("before")).collect()}
+    assert kinds["P04"][0] == 2 * kinds["P04"][1] > 0 and all(b == 0 for p, (_, b) in kinds.items() if p != "P04")

@@ -49,6 +49,12 @@ def as_double(c: Column) -> Column:
     return c.cast(MONEY).cast("double")
 
 
+def account_ids() -> dict[str, Column]:
+    """Text ids of the account (customer, product) and its customer."""
+    customer = F.col("o_custkey").cast("string")
+    return {"account_id": F.concat_ws("-", customer, F.col("product_id")), "customer_id": customer}
+
+
 class Extracts:
     """Staged extracts and the gold tables and marts made from them, each built when first used."""
 
@@ -81,10 +87,7 @@ class Extracts:
         o = orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"), *extra)
         p = self.t("part").select("p_partkey", pick("p_type", {k: v[0] for k, v in PRODUCTS.items()}).alias("product_id"))
         joined = li.join(p, F.col("l_partkey") == F.col("p_partkey")).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-        return joined.withColumns({
-            "month_end": F.last_day("order_date"),
-            "account_id": F.concat_ws("-", F.col("o_custkey").cast("string"), F.col("product_id")),
-            "customer_id": F.col("o_custkey").cast("string")})
+        return joined.withColumns({"month_end": F.last_day("order_date"), **account_ids()})
 
     @cached_property
     def customer_region(self) -> DataFrame:
@@ -184,8 +187,9 @@ class Extracts:
 
     @cached_property
     def accounts(self) -> DataFrame:
-        g = self.base.groupBy("account_id", "customer_id", "product_id").agg(
-            F.min("order_date").alias("open"), F.max("price").alias("amount"), F.max("disc").alias("disc"))
+        # by the two numbers that make up the text ids
+        g = self.base.groupBy("o_custkey", "product_id").agg(
+            F.min("order_date").alias("open"), F.max("price").alias("amount"), F.max("disc").alias("disc")).withColumns(account_ids())
         return g.select(
             "account_id", "customer_id", "product_id", F.lit(None).cast("string").alias("branch_id"),
             F.col("open").cast("timestamp").alias("open_date"), F.lit(None).cast("timestamp").alias("close_date"),
@@ -403,14 +407,18 @@ class Extracts:
 
     @cached_property
     def account_numbers(self) -> DataFrame:
-        """Account numbers as issued: each customer has one per product, used or not."""
+        """Account numbers as issued: each customer has one per product, used or not.
+
+        Customers are dealt by key before they are multiplied: their file is one task's split up to millions of them, and
+        the joins by CustomerKey that follow need that shuffle anyway.
+        """
         ids = F.explode(F.array(*[F.lit(p) for p in PRODUCT_IDS])).alias("product_id")
-        c = self.t("customer").select("c_custkey", ids)
-        product, customer = F.right("product_id", F.lit(2)).cast("int"), F.col("c_custkey") + 1
-        return c.select(
-            (customer * 100 + product).alias("AccountKey"),
+        c = self.t("customer").select("c_custkey", (F.col("c_custkey") + 1).alias("CustomerKey")).repartition("CustomerKey")
+        product = F.right("product_id", F.lit(2)).cast("int")
+        return c.select("c_custkey", "CustomerKey", ids).select(
+            (F.col("CustomerKey") * 100 + product).alias("AccountKey"),
             F.concat_ws("-", F.col("c_custkey").cast("string"), F.col("product_id")).alias("AccountID"),
-            customer.alias("CustomerKey"), product.alias("ProductKey"))
+            "CustomerKey", product.alias("ProductKey"))
 
     @cached_property
     def dim_account(self) -> DataFrame:
