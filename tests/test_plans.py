@@ -89,3 +89,16 @@ def test_account_deliveries_read_lines_once(spark):
     kinds = {r["product_id"]: (r["n"], r["before"]) for r in accounts.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("account_status") == "Pending").alias("before")).collect()}
     assert kinds["P04"][0] == 2 * kinds["P04"][1] > 0 and all(b == 0 for p, (_, b) in kinds.items() if p != "P04")
+
+
+def test_tasks_read_no_more_shuffled_bytes_than_their_memory_holds(spark, tmp_path):
+    """Large partitions are merged up to 16 MB: 40 MB of shuffled rows go to more than two tasks."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        spark.range(5_000_000).select(F.md5(F.col("id").cast("string").cast("binary")).alias("k")).repartition("k").write.parquet(str(tmp_path / "k"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    assert len(list((tmp_path / "k").glob("part-*"))) > 4
