@@ -257,3 +257,21 @@ def test_sums_over_values_scan_no_more_than_their_totals():
 
     alone = scans(["NII", "Balance Months"])
     assert alone > 0 and scans(["NII", "Balance Months", "Balance Months PY", "Bridge Volume Effect", "Bridge Margin Effect", "Bridge Other"]) == alone
+
+
+def test_days_outside_the_calendar_need_no_second_scan(spark, model, tmp_path):
+    """Rows of days that the calendar lacks, or of no day, count under its blank member; the fact is read once for all days."""
+    strange = with_strangers(model)
+    pnl = strange.tables["fact_product_monthly"]
+    undated = pnl.limit(1).withColumns({"DateKey": F.lit(None).cast("int"), "FTPCredit": F.lit(7).cast("decimal(28,2)")})
+    pnl.unionByName(undated).write.parquet(str(tmp_path / "pnl"))
+    stored = replace(strange, tables={**strange.tables, "fact_product_monthly": spark.read.parquet(str(tmp_path / "pnl"))})
+    df = evaluate(stored, Context(), ["dim_date.YearMonth"], ["NII", "NII PY"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("FTPCredit#" in line and "Relation [" in line for line in plan.splitlines()) == 1
+    rows = {r["YearMonth"]: r for r in df.collect()}
+    money = F.coalesce(F.col("InterestIncome"), F.lit(0)) + F.coalesce(F.col("FTPCredit"), F.lit(0)) - F.coalesce(F.col("FTPCharge"), F.lit(0)) - F.coalesce(F.col("InterestExpense"), F.lit(0))
+    facts = spark.read.parquet(str(tmp_path / "pnl"))
+    blank = facts.join(stored.tables["dim_date"], "DateKey", "left_anti").agg(F.sum(money)).first()[0]
+    assert facts.filter("DateKey IS NULL").count() == 1 and rows[None]["NII"] == blank and rows[None]["NII PY"] is None
+    assert sum(r["NII"] for r in rows.values() if r["NII"] is not None) == facts.agg(F.sum(money)).first()[0]
