@@ -72,6 +72,20 @@ def full_reload(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
     return spark.read.parquet(f"{path}/v={new}")
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """`df` computed now, written and read back; what its job shuffled is deleted when the job ends.
+
+    A plan over many facts holds the shuffled rows of all of them until it is done. Stored part by part it holds those of one.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return full_reload(df, path)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def stage(df: DataFrame, path: str, columns: Sequence[str]) -> DataFrame:
     """Truncate and insert into staging, columns matched by name."""
     return full_reload(df.select(*columns), path)

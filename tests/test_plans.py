@@ -5,11 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import marts
+from ledgerlake.plans.model import Context, Filter, evaluate, one_of
 from ledgerlake.session import SETTINGS
 from ledgerlake.sources import tables
 from workload import catalogue
 from workload.adapters import Extracts
 from workload.q_chain import Chain
+from workload.stored import Stored
 
 SF = "/root/testdata/sf0.001"
 
@@ -102,3 +104,35 @@ def test_tasks_read_no_more_shuffled_bytes_than_their_memory_holds(spark, tmp_pa
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
     assert len(list((tmp_path / "k").glob("part-*"))) > 4
+
+
+def test_selected_months_are_cut_out_below_the_dedupe(spark):
+    """The range of the days asked for reaches the lines of a loader, below the ranking of the account's month."""
+    x = Extracts(spark, SF)
+    df = evaluate(x.model, Context((one_of("dim_date", "Year", 2000),)), [], ["ECL Stock", "Write-offs"])
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    ranks = [i for i, line in enumerate(lines) if "row_number()" in line]
+    ranges = [i for i, line in enumerate(lines) if "Filter" in line and "scalar-subquery" in line and "o_orderdate" in line]
+    assert ranks and ranges and max(ranges) > max(ranks)
+    # days of the year that are not asked for lie within the range and are left out all the same
+    gap = Context((Filter("dim_date", "Month", lambda c: c.isin(1, 12)), one_of("dim_date", "Year", 2000)))
+    got = evaluate(x.model, gap, [], ["Write-offs"]).first()[0]
+    want = x.loans.where("DateKey IN (20000131, 20001231)").agg(F.sum("WriteOffAmount")).first()[0]
+    assert got == want
+
+
+@pytest.mark.parametrize("name", ["all_kpi_labels"])
+def test_queries_over_many_facts_are_made_part_by_part(spark, monkeypatch, name):
+    """The lines are joined once, and what is returned reads stored sums: no fact is computed or shuffled in it."""
+    joined, lines = [], Extracts.lines
+    monkeypatch.setattr(Extracts, "lines", lambda self, *a: joined.append(a) or lines(self, *a))
+    df = catalogue.QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(joined) == 1 and not any(c in plan for c in ("l_orderkey#", "o_orderkey#", "l_linenumber#", "event_type#"))
+
+
+def test_lines_joined_once_give_the_same_facts(spark):
+    whole, parts = Extracts(spark, SF), Stored(spark, SF)
+    for fact in ("deposits", "loans", "complaints", "budget"):
+        a, b = getattr(whole, fact), getattr(parts, fact)
+        assert a.columns == b.columns and a.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

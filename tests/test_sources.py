@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 import pytest
@@ -79,6 +80,25 @@ def test_table_rebuilt_from_itself_and_upsert(spark, tmp_path):
     assert sorted(tuple(r) for r in tables.read_table(spark, path).collect()) == [(1, 2), (2, 21), (3, 4)]
 
 
+def test_stored_rows_leave_no_shuffle_files(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    sums = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))
+    before = shuffled()
+    kept = tables.full_reload(sums, str(tmp_path / "kept"))
+    assert shuffled() - before  # what a plain write leaves
+    before, setting = shuffled(), spark.conf.get(key, None)
+    stored = tables.store(sums.withColumn("t", F.col("s") + 1).drop("t"), str(tmp_path / "stored"))
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:  # files go a moment after the job
+        time.sleep(0.1)
+    assert not shuffled() - before and spark.conf.get(key, None) == setting
+    assert sorted(stored.collect()) == sorted(kept.collect()) and stored.count() == 7
+
+
 def test_unfinished_version_is_not_read(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.full_reload(periods(spark, [(1, 1)]), path)

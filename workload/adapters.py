@@ -317,12 +317,16 @@ class Extracts:
 
     @cached_property
     def budget_stage(self) -> DataFrame:
-        def part(c: str, f: str) -> Column:
-            return as_double(F.col(c) * F.lit(f).cast("decimal(5,3)"))
         c = self.customer_region.select("c_custkey", "r_name")
         # the region goes to the orders, which are fewer than their lines
         placed = self.t("orders").join(c, F.col("o_custkey") == F.col("c_custkey"))
-        return self.lines(placed, "r_name").select(
+        return self.budgets(self.lines(placed, "r_name"))
+
+    def budgets(self, lines: DataFrame) -> DataFrame:
+        """Budget rows of lines with their region."""
+        def part(c: str, f: str) -> Column:
+            return as_double(F.col(c) * F.lit(f).cast("decimal(5,3)"))
+        return lines.select(
             F.col("r_name").alias("region_code"), "month_end", "product_id", part("price", "1.020").alias("budget_balance"),
             part("price", "0.004").alias("budget_nii"), part("qty", "1.050").alias("budget_fees"),
             part("price", "0.001").alias("budget_impairment"))

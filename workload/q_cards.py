@@ -1,6 +1,8 @@
 """Cards of the report pages, every KPI text, labels of a selection, drill-through of one region."""
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import reports
@@ -9,6 +11,7 @@ from ledgerlake.plans.model import Context, Filter, evaluate
 from .q_marts import _BR, _CHG, _CI, _CIP, _CO, _COR, _CORP, _CU, _CUP, _FR, _NIM, _NIMP, _label, div
 from .registry import query, r, res
 from .sql import LAST
+from .stored import Stored
 
 YEAR, MONTH = reports.YEAR, reports.MONTH
 
@@ -107,7 +110,8 @@ _NAMES = [k[0] for k in KPIS]
 def all_kpi_labels(x):
     """Every KPI card of the report for one year."""
     names = [f"{k} {part}" for k in _NAMES for part in ("Label", "Colour")]
-    return evaluate(x.model, Context((reports.one_of("dim_date", "Year", 2000),)), [], names)
+    stored = Stored(x.spark, x.dir)
+    return evaluate(replace(stored.model, store=stored.put), Context((reports.one_of("dim_date", "Year", 2000),)), [], names)
 
 
 @query("scam_losses", f"""
