@@ -275,3 +275,12 @@ def test_days_outside_the_calendar_need_no_second_scan(spark, model, tmp_path):
     blank = facts.join(stored.tables["dim_date"], "DateKey", "left_anti").agg(F.sum(money)).first()[0]
     assert facts.filter("DateKey IS NULL").count() == 1 and rows[None]["NII"] == blank and rows[None]["NII PY"] is None
     assert sum(r["NII"] for r in rows.values() if r["NII"] is not None) == facts.agg(F.sum(money)).first()[0]
+
+
+def test_monthly_visuals_of_a_region_from_one_evaluation(model):
+    card = reports.region_scorecard(model, "South")
+    months = {r["YearMonth"]: r for r in reports.region_months(model, "South").collect()}
+    for part, names in reports.REGION_VISUALS.items():
+        got = {r["YearMonth"]: r for r in card[part].collect()}
+        assert got and all(got[m][n] == row[n] if m in got else row[n] is None for m, row in months.items() for n in names)
+        assert set(got) <= set(months)

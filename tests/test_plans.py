@@ -121,7 +121,7 @@ def test_selected_months_are_cut_out_below_the_dedupe(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["all_kpi_labels"])
+@pytest.mark.parametrize("name", ["all_kpi_labels", "region_trends"])
 def test_queries_over_many_facts_are_made_part_by_part(spark, monkeypatch, name):
     """The lines are joined once, and what is returned reads stored sums: no fact is computed or shuffled in it."""
     joined, lines = [], Extracts.lines

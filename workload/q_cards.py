@@ -6,7 +6,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import reports
-from ledgerlake.plans.measures import KPIS
+from ledgerlake.plans.measures import CUSTOMERS, KPIS
 from ledgerlake.plans.model import Context, Filter, evaluate
 from .q_marts import _BR, _CHG, _CI, _CIP, _CO, _COR, _CORP, _CU, _CUP, _FR, _NIM, _NIMP, _label, div
 from .registry import query, r, res
@@ -157,8 +157,10 @@ LEFT JOIN (SELECT month_end AS pe, sum(mau) FILTER (region_name = 'Europe')::DOU
     FROM custm JOIN regions_named USING (region_key) GROUP BY 1) c USING (pe)""")
 def region_trends(x):
     """The drill-through's title and its three monthly visuals for one region; balances stay as they were after the last actual month."""
-    parts = reports.region_scorecard(x.model, "Europe")
-    d = parts["nii"].join(parts["stages"], "YearMonth", "full").join(parts["digital"], "YearMonth", "full")
-    d = d.withColumn("title", parts["title"].select("Selected Region Title").scalar())
+    stored = Stored(x.spark, x.dir)
+    model = replace(stored.model, store=stored.put)
+    model.tables[CUSTOMERS] = stored.put(model.tables[CUSTOMERS])  # read twice, with and without the region
+    title = reports.region_scorecard(stored.model, "Europe")["title"]
+    d = reports.region_months(model, "Europe").withColumn("title", title.select("Selected Region Title").scalar())
     return res(d, year_month="YearMonth", title="title", nii="NII", nii_budget="NII Budget", stage1="Stage 1 Share", stage2="Stage 2 Share",
                stage3="Stage 3 Share", digital_share="Digital Active Share", digital_share_all="Digital Active Share UK")
